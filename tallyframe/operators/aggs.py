@@ -112,3 +112,27 @@ def rank_percentiles_from_histogram(hist: DataFrame, group_cols, value_col: str,
         f, c = F.col(f"_f{i}").cast("double"), F.col(f"_c{i}").cast("double")
         outs.append(F.when(F.col(f"_same{i}") | f.isNull(), c).otherwise((f + c) / 2).alias(name))
     return per_group.select(*group_cols, *outs)
+
+
+def _int_div(a: Column, b: Column) -> Column:
+    """Exact integer floor division of non-negative longs."""
+    a, b = a.cast("long"), b.cast("long")
+    return ((a - F.pmod(a, b)) / b).cast("long")
+
+
+def percent_half_up(numerator: Column, denominator: Column, digits: int = 1) -> Column:
+    """``round(numerator * 100 / denominator, digits)`` rounded half away from
+    zero on the exact quotient (integer arithmetic, no binary-float ties).
+    Both arguments are non-negative counts."""
+    scale = 10 ** digits
+    d = denominator.cast("long")
+    return _int_div(numerator.cast("long") * (200 * scale) + d, d * 2) / F.lit(float(scale))
+
+
+def mean_half_up(total: Column, count: Column, digits: int = 2) -> Column:
+    """``round(total / count, digits)`` half away from zero on the exact
+    quotient of two integers (sign handled separately)."""
+    scale = 10 ** digits
+    c = count.cast("long")
+    mag = _int_div(F.abs(total).cast("long") * (2 * scale) + c, c * 2)
+    return F.signum(total) * mag / F.lit(float(scale))

@@ -82,13 +82,15 @@ def change_gaps(df: DataFrame, key, time_col: str, state_col: str, tie_cols: Seq
             .drop("_chg"))
 
 
-def as_of_state(df: DataFrame, key, time_col: str, state_cols, as_of) -> DataFrame:
+def as_of_state(df: DataFrame, key, time_col: str, state_cols, as_of, tie_cols: Sequence[str] = ()) -> DataFrame:
     """The latest row per key with ``time <= as_of``: one row per key.
 
     ``max_by`` is a partial aggregate, so a hot key is reduced map-side.
+    ``tie_cols`` break ties between rows of the same time (largest wins).
     """
     keys, state_cols = _cols(key), _cols(state_cols)
-    latest = F.max_by(F.struct(*[F.col(c) for c in state_cols]), F.col(time_col))
+    latest = F.max_by(F.struct(*[F.col(c) for c in state_cols]),
+                      F.struct(F.col(time_col), *[F.col(c) for c in tie_cols]))
     return (df.where(F.col(time_col) <= as_of)
             .groupBy(*keys).agg(latest.alias("_s"))
             .select(*keys, *[F.col("_s")[c].alias(c) for c in state_cols]))
