@@ -1,4 +1,4 @@
 """Import every query module so the registry is complete."""
 
-from tallyframe.plans import bank_queries, delivery_queries, subscription_queries  # noqa: F401
+from tallyframe.plans import bank_queries, delivery_queries, subscription_queries, ledger_queries  # noqa: F401
 from tallyframe.plans.registry import QUERIES, runner  # noqa: F401
