@@ -23,32 +23,36 @@ def _cols(x) -> list[str]:
 
 
 def previous_in_sequence(df: DataFrame, keys, order_cols, value_cols, prefix: str = "prev_",
-                         split: Column | None = None) -> DataFrame:
-    """Add ``prefix + v`` = the value of ``v`` on the previous row of the same key.
+                         split: Column | None = None, direction: str = "previous") -> DataFrame:
+    """Add ``prefix + v`` = the value of ``v`` on the previous row of the same
+    key (``direction="next"``: on the following row).
 
     Rows are ordered by ``order_cols`` (the first one is the time).  ``split``
     must be non-decreasing along that order within a key (default: the day of
     the first order column).  The heavy window runs per (key, split) slice, so
     a key with a third of all rows is spread over many tasks; the hand-over
-    between slices goes through one row per slice (the slice's last row),
-    looked up with a lag over slices (bounded by the number of slices of a key).
+    between slices goes through one row per slice (its last row, or its first
+    for "next"), looked up with a lag over slices (bounded by the number of
+    slices of a key).
     """
     keys, order_cols, value_cols = _cols(keys), _cols(order_cols), _cols(value_cols)
+    forward = direction == "previous"
     if split is None:
         split = F.to_date(F.col(order_cols[0]))
     carried = F.struct(*[F.col(v).alias(v) for v in value_cols])
     sliced = df.withColumn("_split", split).withColumn("_carried", carried)
 
-    slice_order = [F.col(c) for c in order_cols]
-    in_slice = Window.partitionBy(*keys, "_split").orderBy(*slice_order)
+    asc = [F.col(c).asc() for c in order_cols]
+    desc = [F.col(c).desc() for c in order_cols]
+    in_slice = Window.partitionBy(*keys, "_split").orderBy(*(asc if forward else desc))
     local = sliced.withColumn("_prev", F.lag("_carried").over(in_slice))
 
-    # Last row of every slice, then the previous slice's last row per slice.
-    tails = (sliced.groupBy(*keys, "_split")
-             .agg(F.max_by("_carried", F.struct(*slice_order)).alias("_tail")))
-    tails = tails.withColumn(
-        "_handover", F.lag("_tail").over(Window.partitionBy(*keys).orderBy("_split"))
-    ).select(*keys, "_split", "_handover")
+    # Edge row of every slice, then the neighbouring slice's edge row per slice.
+    position = F.struct(*[F.col(c) for c in order_cols])
+    edge = F.max_by("_carried", position) if forward else F.min_by("_carried", position)
+    tails = sliced.groupBy(*keys, "_split").agg(edge.alias("_tail"))
+    over_slices = Window.partitionBy(*keys).orderBy(F.col("_split").asc() if forward else F.col("_split").desc())
+    tails = tails.withColumn("_handover", F.lag("_tail").over(over_slices)).select(*keys, "_split", "_handover")
 
     joined = local.join(tails, on=[*keys, "_split"], how="left")
     prev = F.coalesce(F.col("_prev"), F.col("_handover"))
@@ -58,6 +62,28 @@ def previous_in_sequence(df: DataFrame, keys, order_cols, value_cols, prefix: st
     return out.drop("_split", "_carried", "_prev", "_handover")
 
 
+def sequence_number(df: DataFrame, keys, order_cols, out_col: str = "seq_no",
+                    split: Column | None = None) -> DataFrame:
+    """1-based position of each row within its key in ``order_cols`` order.
+
+    Two levels like ``previous_in_sequence``: a row number within each
+    (key, split) slice plus the number of rows in the key's earlier slices
+    (a running sum over the per-slice counts).
+    """
+    keys, order_cols = _cols(keys), _cols(order_cols)
+    if split is None:
+        split = F.to_date(F.col(order_cols[0]))
+    sliced = df.withColumn("_split", split)
+    local = sliced.withColumn("_rn", F.row_number().over(
+        Window.partitionBy(*keys, "_split").orderBy(*[F.col(c) for c in order_cols])))
+    counts = sliced.groupBy(*keys, "_split").agg(F.count("*").alias("_cnt"))
+    before = Window.partitionBy(*keys).orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(before), F.lit(0))).drop("_cnt")
+    return (local.join(offsets, on=[*keys, "_split"], how="left")
+            .withColumn(out_col, (F.col("_rn") + F.col("_off")).cast("int"))
+            .drop("_split", "_rn", "_off"))
+
+
 def state_changes(df: DataFrame, key, time_col: str, state_col: str, tie_cols: Sequence[str] = (),
                   split: Column | None = None, out_col: str = "prev_change_time") -> DataFrame:
     """Add ``out_col`` = previous row's time when the state differs from it.
