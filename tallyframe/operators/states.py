@@ -48,6 +48,9 @@ def previous_in_sequence(df: DataFrame, keys, order_cols, value_cols, prefix: st
     local = sliced.withColumn("_prev", F.lag("_carried").over(in_slice))
 
     # Edge row of every slice, then the neighbouring slice's edge row per slice.
+    # This is a second read of the input, but an aggregate with a map-side
+    # partial step: only one row per (key, slice) and map task is shuffled,
+    # where sharing the window's output would need a second full shuffle.
     position = F.struct(*[F.col(c) for c in order_cols])
     edge = F.max_by("_carried", position) if forward else F.min_by("_carried", position)
     tails = sliced.groupBy(*keys, "_split").agg(edge.alias("_tail"))
