@@ -65,6 +65,33 @@ def counted_items(df: DataFrame, group_cols, item_col: str, sep: str = ",",
     return ordered_list(labelled, group_cols, "_label", order_col=item_col, sep=sep, out_col=out_col)
 
 
+def counted_items_by_kind(df: DataFrame, group_cols, item_col: str, kind_col: str,
+                          kinds: Mapping[str, object], sep: str = ",") -> DataFrame:
+    """``counted_items`` for several kinds of row at once.
+
+    For each ``out_col -> kind`` the counted, item-ordered list of the rows of
+    that kind (NULL when the group has none), for every group having a row of
+    any listed kind.  Same result as one ``counted_items`` per kind merged by
+    a full outer join, in one pass: counts per (group, item, kind), then one
+    list per group.
+    """
+    group_cols = _cols(group_cols)
+    names = list(kinds)
+    counts = (df.where(F.col(kind_col).isin(list(kinds.values())))
+              .groupBy(*group_cols, item_col)
+              .agg(*[F.count_if(F.col(kind_col) == kinds[n]).alias(f"_n{i}") for i, n in enumerate(names)]))
+    packed = F.sort_array(F.collect_list(F.struct(F.col(item_col).alias("i"),
+                                                  *[F.col(f"_n{i}").alias(f"n{i}") for i in range(len(names))])))
+    grouped = counts.groupBy(*group_cols).agg(packed.alias("_all"))
+    def kind_list(field: str) -> Column:
+        present = F.filter("_all", lambda x: x[field] > 0)
+        labels = F.transform(present, lambda x: counted_label(x[field], x["i"]))
+        return F.when(F.size(present) > 0, F.array_join(labels, sep))
+
+    outs = [kind_list(f"n{i}").alias(n) for i, n in enumerate(names)]
+    return grouped.select(*group_cols, *outs)
+
+
 def rank_percentiles(df: DataFrame, group_cols, value_col: str,
                      percentiles: Mapping[str, float | str | Decimal]) -> DataFrame:
     """Rank-based percentiles per group: for each ``name -> p`` the mean of the

@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.operators.states import previous_in_sequence, sequence_number
+from tallyframe.operators.states import neighbours_in_sequence, sequence_number
 
 
 def _month_index(d: Column) -> Column:
@@ -52,8 +52,8 @@ def payment_schedule(subs: DataFrame, plans: DataFrame, period_start, period_end
     order = [start_col, *tie_cols]
     rows = subs.select(key, plan_col, F.col(start_col).cast("date").alias(start_col), *tie_cols)
     split = F.trunc(F.col(start_col), "month")
-    rows = previous_in_sequence(rows, key, order, [plan_col, start_col], prefix="_p_", split=split)
-    rows = previous_in_sequence(rows, key, order, [start_col], prefix="_n_", split=split, direction="next")
+    rows = neighbours_in_sequence(rows, key, order, [plan_col, start_col], [start_col],
+                                  prev_prefix="_p_", next_prefix="_n_", split=split)
     price = F.broadcast(plans.select(F.col("plan_id").alias("_pid"), "plan_name", "price"))
     prev_price = F.broadcast(plans.select(F.col("plan_id").alias("_ppid"), F.col("price").alias("_prev_price")))
     rows = (rows.join(price, F.col(plan_col) == F.col("_pid"))

@@ -67,20 +67,28 @@ def month_spine(first_dates: DataFrame, keys, first_col: str, end_date: Column)
     return first_dates.select(*keys, F.explode(months).alias("month"))
 
 
-def month_end_balances(daily: DataFrame, keys, date_col: str, net_col: str, end_date: Column,
+def month_end_balances(txns: DataFrame, keys, date_col: str, net_col: str, end_date: Column,
                        out_col: str = "closing_balance") -> DataFrame:
     """Closing balance of every account for every month from its first active
     month through the month of ``end_date`` (months without activity carry
-    the previous balance)."""
+    the previous balance).  ``txns`` may hold transactions or daily nets.
+
+    Two shuffles and no join: nets per (account, month); then one row per
+    account holding its month → net map (bounded by the months in the data),
+    from which the month spine is generated in place.  The running sum over
+    the spine then runs on data already partitioned by account.
+    """
     keys = _cols(keys)
-    monthly = daily.groupBy(*keys, F.trunc(date_col, "month").alias("month")).agg(F.sum(net_col).alias("_net"))
-    first = daily.groupBy(*keys).agg(F.min(date_col).alias("_first"))
-    spine = month_spine(first, keys, "_first", end_date)
+    zero = F.lit(0).cast(txns.schema[net_col].dataType)
+    monthly = txns.groupBy(*keys, F.trunc(date_col, "month").alias("_m")).agg(F.sum(net_col).alias("_net"))
+    per_key = monthly.groupBy(*keys).agg(
+        F.map_from_entries(F.collect_list(F.struct("_m", "_net"))).alias("_nets"), F.min("_m").alias("_first"))
+    months = F.sequence(F.col("_first"), F.trunc(end_date, "month"), F.expr("INTERVAL 1 MONTH"))
+    spine = per_key.select(*keys, "_nets", F.explode(months).alias("month"))
     w = Window.partitionBy(*keys).orderBy("month").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (spine.join(monthly, on=[*keys, "month"], how="left")
-            .withColumn("month_net", F.coalesce(F.col("_net"), F.lit(0).cast(daily.schema[net_col].dataType)))
-            .withColumn(out_col, F.sum("month_net").over(w))
-            .drop("_net"))
+    return (spine.withColumn("month_net", F.coalesce(F.try_element_at("_nets", F.col("month")), zero))
+            .drop("_nets")
+            .withColumn(out_col, F.sum("month_net").over(w)))
 
 
 def window_weighted_sum(segments: DataFrame, keys, balance_col: str, window_start: Column, window_end: Column,

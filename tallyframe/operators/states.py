@@ -65,6 +65,37 @@ def previous_in_sequence(df: DataFrame, keys, order_cols, value_cols, prefix: st
     return out.drop("_split", "_carried", "_prev", "_handover")
 
 
+def neighbours_in_sequence(df: DataFrame, keys, order_cols, prev_cols, next_cols,
+                           prev_prefix: str = "prev_", next_prefix: str = "next_",
+                           split: Column | None = None) -> DataFrame:
+    """``previous_in_sequence`` and its "next" form in one pass: one window
+    over the (key, split) slices gives lag and lead, one aggregate gives each
+    slice's first and last row, one window over the slices hands them over."""
+    keys, order_cols = _cols(keys), _cols(order_cols)
+    prev_cols, next_cols = _cols(prev_cols), _cols(next_cols)
+    if split is None:
+        split = F.to_date(F.col(order_cols[0]))
+    sliced = (df.withColumn("_split", split)
+              .withColumn("_cp", F.struct(*[F.col(v).alias(v) for v in prev_cols]))
+              .withColumn("_cn", F.struct(*[F.col(v).alias(v) for v in next_cols])))
+    in_slice = Window.partitionBy(*keys, "_split").orderBy(*[F.col(c) for c in order_cols])
+    local = (sliced.withColumn("_lp", F.lag("_cp").over(in_slice))
+             .withColumn("_ln", F.lead("_cn").over(in_slice)))
+    position = F.struct(*[F.col(c) for c in order_cols])
+    edges = sliced.groupBy(*keys, "_split").agg(F.max_by("_cp", position).alias("_last"),
+                                                 F.min_by("_cn", position).alias("_first"))
+    over = Window.partitionBy(*keys).orderBy("_split")
+    edges = edges.select(*keys, "_split", F.lag("_last").over(over).alias("_hp"),
+                         F.lead("_first").over(over).alias("_hn"))
+    out = local.join(edges, on=[*keys, "_split"], how="left")
+    p, n = F.coalesce(F.col("_lp"), F.col("_hp")), F.coalesce(F.col("_ln"), F.col("_hn"))
+    for v in prev_cols:
+        out = out.withColumn(prev_prefix + v, p[v])
+    for v in next_cols:
+        out = out.withColumn(next_prefix + v, n[v])
+    return out.drop("_split", "_cp", "_cn", "_lp", "_ln", "_hp", "_hn")
+
+
 def sequence_number(df: DataFrame, keys, order_cols, out_col: str = "seq_no",
                     split: Column | None = None) -> DataFrame:
     """1-based position of each row within its key in ``order_cols`` order.

@@ -1,10 +1,12 @@
 """Account-ledger analyses (transactions, balances, data allocation, interest).
 
 Mapping: the ledger is ``orders`` — account ``o_custkey``, day
-``o_orderdate``, amount ``o_totalprice`` (as an exact 2-decimal amount), type
+``o_orderdate``, amount ``o_totalprice`` (exact, held as whole cents), type
 by status: F = deposit (+), O = purchase (−), P = withdrawal (−).
-Balances are signed; amounts leave the queries as doubles converted from
-exact decimal sums.
+Balances are signed.  Inside the queries money is a long number of cents
+(exact, and summed by the fast fixed-width aggregates rather than wide
+decimals); it leaves the queries as ``cents / 100.0`` doubles, the same
+values an exact decimal sum converts to.
 """
 
 from __future__ import annotations
@@ -75,12 +77,15 @@ def ledger(t) -> DataFrame:
     return t.orders.select(F.col("o_custkey").alias("customer_id"),
                            F.col("o_orderdate").cast("date").alias("txn_date"),
                            kind.alias("txn_type"),
-                           F.col("o_totalprice").cast("decimal(18,2)").alias("amount"))
+                           F.round(F.col("o_totalprice") * 100).cast("long").alias("amount"))
+
+
+def _signed(t) -> DataFrame:
+    return ledger(t).withColumn("net", signed_amount("txn_type", "amount", SIGNS))
 
 
 def _daily(t) -> DataFrame:
-    led = ledger(t).withColumn("net", signed_amount("txn_type", "amount", SIGNS))
-    return daily_net(led, "customer_id", "txn_date", "net")
+    return daily_net(_signed(t), "customer_id", "txn_date", "net")
 
 
 def _end_date(t):
@@ -89,12 +94,13 @@ def _end_date(t):
 
 
 def _closing(t) -> DataFrame:
-    return month_end_balances(_daily(t), "customer_id", "txn_date", "daily_net", _end_date(t))
+    return month_end_balances(_signed(t), "customer_id", "txn_date", "net", _end_date(t))
 
 
 def _dbl(c, digits=None):
+    """Cents → currency units as a double."""
     c = F.col(c) if isinstance(c, str) else c
-    c = c.cast("double")
+    c = c.cast("double") / 100.0
     return F.round(c, digits) if digits is not None else c
 
 
@@ -120,7 +126,7 @@ def avg_deposits_per_customer(t):
     per = (ledger(t).where(F.col("txn_type") == "deposit").groupBy("customer_id")
            .agg(F.count("*").alias("n"), F.sum("amount").alias("total")))
     return per.agg(F.round(F.sum("n") * 1.0 / F.count("*"), ROUND).alias("avg_deposit_count"),
-                   mean_half_up((F.sum("total") * 100).cast("long"), F.count("*") * 100, 4).alias("avg_deposit_amount"))
+                   mean_half_up(F.sum("total"), F.count("*") * 100, 4).alias("avg_deposit_amount"))
 
 
 @query("active_customers_per_month", oracle=f"""
@@ -174,7 +180,7 @@ def balance_growth_share(t):
     ends = _closing(t).groupBy("customer_id").agg(
         F.min_by("closing_balance", "month").alias("opening"),
         F.max_by("closing_balance", "month").alias("final"))
-    grow = (F.col("opening") > 0) & (F.col("final") > F.col("opening") * F.lit(1.05).cast("decimal(3,2)"))
+    grow = (F.col("opening") > 0) & (F.col("final") * 100 > F.col("opening") * 105)
     return ends.agg(F.count_if(grow).alias("n_growing"),
                     F.round(F.count_if(grow) * 100.0 / F.count("*"), ROUND).alias("pct"))
 
@@ -204,7 +210,7 @@ def balance_stats(t):
     b = running_balance(_daily(t), "customer_id", "txn_date", "daily_net")
     return b.groupBy("customer_id").agg(
         _dbl(F.min("running_balance")).alias("min_balance"),
-        mean_half_up((F.sum("running_balance") * 100).cast("long"), F.count("*") * 100, 4).alias("avg_balance"),
+        mean_half_up(F.sum("running_balance"), F.count("*") * 100, 4).alias("avg_balance"),
         _dbl(F.max("running_balance")).alias("max_balance"))
 
 
@@ -294,7 +300,7 @@ def allocation_trailing_30d(t):
                          F.trunc(F.least(F.date_add("seg_end", 29), end), "month"), F.expr("INTERVAL 1 MONTH"))
     w = window_weighted_sum(seg, "customer_id", "balance", F.date_sub(month_end, 29), month_end, anchors)
     return (w.groupBy("month")
-            .agg(F.round(F.sum(F.greatest(F.col("balance_days"), F.lit(0))).cast("double") / 30, 4)
+            .agg(F.round(_dbl(F.sum(F.greatest(F.col("balance_days"), F.lit(0)))) / 30, 4)
                  .alias("allocation")))
 
 
@@ -321,7 +327,7 @@ def interest_simple(t):
     w = window_weighted_sum(seg, "customer_id", "balance", F.col("month"),
                             F.least(F.last_day(F.col("month")), end), anchors)
     return (w.groupBy("month")
-            .agg(F.round(F.sum("balance_days").cast("double") * RATE / 365, 2).alias("interest")))
+            .agg(F.round(_dbl(F.sum("balance_days")) * RATE / 365, 2).alias("interest")))
 
 
 @query("interest_compound", oracle=f"""
@@ -361,7 +367,7 @@ def interest_compound(t):
     d0 = ledger(t).agg(F.min("txn_date")).scalar()
     end = _end_date(t)
     k = (daily.groupBy("customer_id", F.trunc("txn_date", "month").alias("month"))
-         .agg(F.sum(F.col("daily_net").cast("double") * F.pow(F.lit(g), -F.datediff("txn_date", d0))).alias("k_month"),
+         .agg(F.sum(_dbl("daily_net") * F.pow(F.lit(g), -F.datediff("txn_date", d0))).alias("k_month"),
               F.sum("daily_net").alias("net_month")))
     w = Window.partitionBy("customer_id").orderBy("month")
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -370,5 +376,5 @@ def interest_compound(t):
          .withColumn("e", F.least(F.last_day("month"), end))
          .withColumn("b_end", F.col("s_end") * F.pow(F.lit(g), F.datediff("e", d0) + 1)))
     i = s.withColumn("interest", F.col("b_end") - F.coalesce(F.lag("b_end").over(w), F.lit(0.0))
-                     - F.coalesce(F.col("net_month"), F.lit(0)).cast("double"))
+                     - _dbl(F.coalesce(F.col("net_month"), F.lit(0))))
     return i.groupBy("month").agg(F.round(F.sum("interest"), 2).alias("interest"))
