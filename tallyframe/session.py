@@ -59,3 +59,35 @@ def checkpoint_dir(spark: SparkSession) -> str:
             pass
     spark.sparkContext.setCheckpointDir(configured)
     return configured
+
+
+def scale_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 << 20,
+               max_shuffle_partitions: int = 200_000) -> dict[str, str]:
+    """Settings sized for a cluster run over ``input_bytes`` of parquet.
+
+    - scan splits and post-shuffle partitions target ``partition_bytes`` so a
+      task's sort / aggregation buffer fits executor memory (spill otherwise);
+    - the shuffle partition count is an upper bound sized for the largest
+      shuffle (about the input size); AQE coalesces small partitions at run
+      time and splits skewed ones (a hot key holding a third of the rows is
+      cut into advisory-size pieces on the sort-merge join side);
+    - the broadcast threshold is a checked size: AQE broadcasts a join side
+      only when its measured runtime size is below it, and sort-merges otherwise.
+    Pass the result as ``extra`` to ``get_session`` or as spark-submit ``--conf``.
+    """
+    parts = max(total_cores * 2, -(-input_bytes // partition_bytes))
+    parts = min(parts, max_shuffle_partitions)
+    mb = f"{partition_bytes >> 20}m"
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": mb,
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": mb,
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{(partition_bytes * 2) >> 20}m",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        "spark.sql.parquet.filterPushdown": "true",
+        "spark.sql.parquet.aggregatePushdown": "true",
+    }
