@@ -21,6 +21,12 @@ SHARE_DATE = dt.date(1996, 9, 17)
 AS_OF = dt.datetime(2024, 1, 15)
 
 
+def _ntz(value: dt.datetime):
+    """A wall-clock timestamp literal, independent of the session time zone
+    (the tables' timestamps carry no zone)."""
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 @query("events_with_user", oracle="""
 SELECT e.event_id, e.user_id, e.event_type, e.ts, c.c_name, c.c_acctbal
 FROM events e JOIN customer c ON e.user_id = c.c_custkey
@@ -116,7 +122,7 @@ GROUP BY o_orderstatus
 """)
 def status_share(t):
     """Count and percent of total per status, for rows starting on one date."""
-    counts = (t.orders.where(F.col("o_orderdate") == F.lit(dt.datetime.combine(SHARE_DATE, dt.time())))
+    counts = (t.orders.where(F.col("o_orderdate") == _ntz(dt.datetime.combine(SHARE_DATE, dt.time())))
               .groupBy("o_orderstatus").agg(F.count("*").alias("n_orders")))
     return share_of_total(counts, "n_orders", "pct").withColumn("pct", F.round("pct", ROUND))
 
@@ -195,7 +201,7 @@ FROM s WHERE rn = 1 GROUP BY event_type
 def state_as_of(t):
     """State held by each user at a point in time (latest row at or before
     it), counted per state with its percent of users."""
-    latest = as_of_state(t.events, "user_id", "ts", ["event_type"], F.lit(AS_OF), tie_cols=["event_id"])
+    latest = as_of_state(t.events, "user_id", "ts", ["event_type"], _ntz(AS_OF), tie_cols=["event_id"])
     counts = latest.groupBy("event_type").agg(F.count("*").alias("n_users"))
     return share_of_total(counts, "n_users", "pct").withColumn("pct", F.round("pct", ROUND))
 
