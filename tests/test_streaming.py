@@ -47,3 +47,33 @@ def test_daily_net_append(spark, stream_dir):
     # Only days older than the watermark are final; with one batch of input
     # nothing is late, and the watermark trails the newest day.
     assert n >= 0
+
+
+def test_daily_net_matches_batch_after_watermark(spark, tmp_path):
+    """Two files arrive in two triggers; days behind the watermark are final
+    and equal to the batch daily net."""
+    import pyarrow.parquet as pq
+    import pyarrow.compute as pc
+    tbl = pq.read_table(f"{SF}/orders.parquet")
+    cut = pc.less(tbl["o_orderdate"], pc.cast("1998-01-01", tbl["o_orderdate"].type))
+    land = tmp_path / "landing"
+    land.mkdir()
+    pq.write_table(tbl.filter(cut), land / "part-0.parquet")
+    schema = spark.read.parquet(f"{SF}/orders.parquet").schema
+    s = ledger_stream(spark, str(land), schema, account="o_custkey", when="o_orderdate",
+                      kind="o_orderstatus", amount="o_totalprice", signs={"F": 1, "O": -1, "P": -1})
+    q = start(daily_net_stream(s, "1 day"), "daily_net_two", "append")
+    try:
+        q.processAllAvailable()
+        pq.write_table(tbl.filter(pc.invert(cut)), land / "part-1.parquet")
+        q.processAllAvailable()
+        got = {(r["account"], r["day"]["start"].date()): round(r["daily_net"], 2)
+               for r in spark.sql("select * from daily_net_two").collect()}
+    finally:
+        q.stop()
+    from pyspark.sql import functions as F
+    o = spark.read.parquet(f"{SF}/orders.parquet").where(F.col("o_orderdate") < "1998-01-01")
+    sign = F.when(F.col("o_orderstatus") == "F", 1).otherwise(-1)
+    exp = {(r[0], r[1]): round(r[2], 2) for r in
+           o.groupBy("o_custkey", F.to_date("o_orderdate")).agg(F.sum(F.col("o_totalprice") * sign)).collect()}
+    assert exp and all(got.get(k) == pytest.approx(v, abs=0.02) for k, v in exp.items())
