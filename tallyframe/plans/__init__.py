@@ -1,7 +1,8 @@
 """Query catalogue.
 
-``registry`` holds the queries over the analysis tables (one per analysis
-of the three case studies, plus the tasks they state), each with the SQL
-text of an independent oracle.  ``delivery``, ``subscriptions`` and ``bank``
-hold the same analyses over the case studies' own table layouts.
+``*_queries`` modules register one query per analysis of the three case
+studies (and the tasks they state) over the analysis tables, each with the
+SQL text of an independent oracle (``registry.QUERIES``; import
+``catalogue`` to load them all).  ``delivery``, ``subscriptions`` and
+``bank`` hold the same analyses over the case studies' own table layouts.
 """
