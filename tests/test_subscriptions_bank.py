@@ -58,3 +58,38 @@ def test_ledger_customer_1(spark):
     # simple interest: 312 for Jan 2-31 (30 days) at 6%/365
     jan = rows(B.daily_interest_per_month(txns))[0]
     assert jan[0] == dt.date(2020, 1, 1) and jan[1] == pytest.approx(312 * 30 * 0.06 / 365)
+
+
+def test_more_subscription_views(spark, subs):
+    from tallyframe.sources.literal import frame
+    plans = load(spark, PLANS)
+    sample = frame(spark, "customer_id int", [(1,), (2,)])
+    assert rows(S.journeys(subs, plans, sample), "customer_id", "plan_name") == [
+        (1, "basic monthly"), (1, "trial"), (2, "pro annual"), (2, "trial")]
+    assert dict(rows(S.trial_starts_per_month_literal(subs))) == {3: 1, 5: 1, 6: 1, 7: 1, 8: 1, 9: 1, 12: 1}
+    assert rows(S.plans_after_trial_literal(subs))[0][0] == 11
+
+
+def test_more_ledger_views(spark):
+    txns = load(spark, TRANSACTIONS_1)
+    assert rows(B.type_summary(txns)) == [("deposit", 2, 636), ("purchase", 2, 1276)]
+    assert rows(B.avg_deposits(txns)) == [(2.0, 636.0)]
+    assert rows(B.active_customers_per_month(txns)) == []
+    assert rows(B.growing_customers_share(txns)) == [(0, 0.0)]
+    opt2 = {m: v for m, v in rows(B.data_needed_option2(txns))}
+    assert [float(v) for _, v in sorted(opt2.items())] == [312.0, 312.0, 0.0]
+    opt3 = [v for _, v in rows(B.data_needed_option3(txns))]
+    assert opt3 == [312, 312, 312]
+
+
+def test_more_delivery_views(spark):
+    from fixtures import CUSTOMER_ORDERS, PIZZA_NAMES, PIZZA_RECIPES, PIZZA_TOPPINGS, RUNNER_ORDERS, RUNNERS
+    from tallyframe.plans import delivery as D
+    shop = D.Shop(*(load(spark, t) for t in (RUNNERS, CUSTOMER_ORDERS, RUNNER_ORDERS, PIZZA_NAMES,
+                                             PIZZA_RECIPES, PIZZA_TOPPINGS)))
+    got = {c: v for c, v in rows(D.avg_distance_per_customer(shop))}
+    assert got == pytest.approx({101: 20.0, 102: 18.4, 103: 23.4, 104: 10.0, 105: 25.0})
+    per_runner = {r: v for r, v in rows(D.avg_minutes_to_pickup_per_runner(shop))}
+    assert per_runner == pytest.approx({1: 14.0, 2: 59 / 3, 3: 10.0})
+    speeds = {o: v for _, o, v in rows(D.speed_per_delivery(shop))}
+    assert speeds[1] == pytest.approx(37.5) and len(speeds) == 8
