@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -10,7 +11,8 @@ from tallyframe.session import get_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    s = get_session("local[*]", 8, app_name="tallyframe-tests")
+    warehouse = tempfile.mkdtemp(prefix="tallyframe-warehouse-")
+    s = get_session("local[*]", 8, app_name="tallyframe-tests", extra={"spark.sql.warehouse.dir": warehouse})
     yield s
 
 

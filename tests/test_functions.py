@@ -56,3 +56,13 @@ def test_shares_ties_lists_and_joins(spark):
     rows = spark.createDataFrame([(9, "1, 5, 1"), (10, ""), (11, None)], "o int, extras string")
     got = sorted((r["o"], r["topping_name"]) for r in member_join(rows, "extras", dim, "topping_id").collect())
     assert got == [(9, "Bacon"), (9, "Chicken")]
+
+
+def test_tableset_from_catalog_and_views(spark):
+    from tallyframe.sources.tables import TableSet
+    t = TableSet(spark, "/root/testdata/sf0.001")
+    t.register_views()
+    assert spark.sql("SELECT COUNT(*) FROM region").first()[0] == 5
+    spark.sql("CREATE DATABASE IF NOT EXISTS tf_test_db")
+    t.region.write.mode("overwrite").saveAsTable("tf_test_db.region")
+    assert TableSet(spark, database="tf_test_db").region.count() == 5
