@@ -42,8 +42,11 @@ def previous_in_sequence(df: DataFrame, keys, order_cols, value_cols, prefix: st
     carried = F.struct(*[F.col(v).alias(v) for v in value_cols])
     sliced = df.withColumn("_split", split).withColumn("_carried", carried)
 
-    asc = [F.col(c).asc() for c in order_cols]
-    desc = [F.col(c).desc() for c in order_cols]
+    # The carried values break remaining ties, so the window order and the
+    # edge rows agree on one total order (and a recomputed task agrees too).
+    ordering = [*order_cols, "_carried"]
+    asc = [F.col(c).asc() for c in ordering]
+    desc = [F.col(c).desc() for c in ordering]
     in_slice = Window.partitionBy(*keys, "_split").orderBy(*(asc if forward else desc))
     local = sliced.withColumn("_prev", F.lag("_carried").over(in_slice))
 
@@ -51,7 +54,7 @@ def previous_in_sequence(df: DataFrame, keys, order_cols, value_cols, prefix: st
     # This is a second read of the input, but an aggregate with a map-side
     # partial step: only one row per (key, slice) and map task is shuffled,
     # where sharing the window's output would need a second full shuffle.
-    position = F.struct(*[F.col(c) for c in order_cols])
+    position = F.struct(*[F.col(c) for c in ordering])
     edge = F.max_by("_carried", position) if forward else F.min_by("_carried", position)
     tails = sliced.groupBy(*keys, "_split").agg(edge.alias("_tail"))
     over_slices = Window.partitionBy(*keys).orderBy(F.col("_split").asc() if forward else F.col("_split").desc())
@@ -78,10 +81,11 @@ def neighbours_in_sequence(df: DataFrame, keys, order_cols, prev_cols, next_cols
     sliced = (df.withColumn("_split", split)
               .withColumn("_cp", F.struct(*[F.col(v).alias(v) for v in prev_cols]))
               .withColumn("_cn", F.struct(*[F.col(v).alias(v) for v in next_cols])))
-    in_slice = Window.partitionBy(*keys, "_split").orderBy(*[F.col(c) for c in order_cols])
+    ordering = [*order_cols, "_cp", "_cn"]  # carried values break remaining ties
+    in_slice = Window.partitionBy(*keys, "_split").orderBy(*[F.col(c) for c in ordering])
     local = (sliced.withColumn("_lp", F.lag("_cp").over(in_slice))
              .withColumn("_ln", F.lead("_cn").over(in_slice)))
-    position = F.struct(*[F.col(c) for c in order_cols])
+    position = F.struct(*[F.col(c) for c in ordering])
     edges = sliced.groupBy(*keys, "_split").agg(F.max_by("_cp", position).alias("_last"),
                                                  F.min_by("_cn", position).alias("_first"))
     over = Window.partitionBy(*keys).orderBy("_split")
