@@ -45,7 +45,7 @@ def distinct_users(t):
 
 
 @query("signups_per_month", oracle="""
-SELECT month(o_orderdate) AS month_no, COUNT(*) AS n_starts
+SELECT CAST(month(o_orderdate) AS INTEGER) AS month_no, COUNT(*) AS n_starts
 FROM orders WHERE o_orderstatus = 'O' GROUP BY month(o_orderdate)
 """)
 def signups_per_month(t):

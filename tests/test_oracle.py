@@ -28,14 +28,21 @@ def test_every_query_has_an_oracle():
     assert set(ORACLES) == set(E.queries())
 
 
+# DuckDB result type → Spark type name.
+DUCK_TO_SPARK = {"INTEGER": "int", "BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string", "DATE": "date",
+                 "TIMESTAMP": "timestamp_ntz", "BOOLEAN": "boolean"}
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
     s_rows = [tuple(r) for r in df.collect()]
-    cur = con.execute(ORACLES[name])
-    o_cols = [d[0] for d in cur.description]
-    o_rows = cur.fetchall()
+    rel = con.sql(ORACLES[name])
+    o_cols, o_types = rel.columns, [str(t) for t in rel.types]
+    o_rows = rel.fetchall()
     assert sorted(df.columns) == sorted(o_cols)
+    spark_types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    assert {c: DUCK_TO_SPARK.get(t, t) for c, t in zip(o_cols, o_types)} == spark_types
     assert rows_of(df.columns, s_rows, 9) == rows_of(o_cols, o_rows, 9)
 
 
