@@ -121,15 +121,21 @@ def rank_percentiles_from_histogram(hist: DataFrame, group_cols, value_col: str,
     by_value = Window.partitionBy(*group_cols).orderBy(value_col) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     whole = Window.partitionBy(*group_cols)
-    cum = (hist.withColumn("_hi", F.sum(count_col).over(by_value))
-           .withColumn("_n", F.sum(count_col).over(whole))
-           .withColumn("_lo", F.col("_hi") - F.col(count_col) + 1))
-    aggs = []
+    hi = F.sum(count_col).over(by_value)
+    n = F.sum(count_col).over(whole)
+    cum = hist.select(*group_cols, value_col, (hi - F.col(count_col) + 1).alias("_lo"), hi.alias("_hi"),
+                      n.alias("_n"))
+    # Target ranks once per row (exact decimal n·p), then plain comparisons.
+    ranks = {}
     for i, p in enumerate(percentiles.values()):
         pos = F.col("_n") * F.lit(Decimal(str(p)))
-        kf, kc = F.floor(pos), F.ceil(pos)
-        hit_f = (kf >= F.col("_lo")) & (kf <= F.col("_hi"))
-        hit_c = (kc >= F.col("_lo")) & (kc <= F.col("_hi"))
+        ranks[f"_kf{i}"], ranks[f"_kc{i}"] = F.floor(pos).cast("long"), F.ceil(pos).cast("long")
+    cum = cum.withColumns(ranks)
+    aggs = []
+    for i in range(len(percentiles)):
+        kf, kc = F.col(f"_kf{i}"), F.col(f"_kc{i}")
+        hit_f = kf.between(F.col("_lo"), F.col("_hi"))
+        hit_c = kc.between(F.col("_lo"), F.col("_hi"))
         aggs += [F.max(F.when(hit_f, F.col(value_col))).alias(f"_f{i}"),
                  F.max(F.when(hit_c, F.col(value_col))).alias(f"_c{i}"),
                  F.max(kf == kc).alias(f"_same{i}")]

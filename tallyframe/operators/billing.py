@@ -69,7 +69,7 @@ def payment_schedule(subs: DataFrame, plans: DataFrame, period_start, period_end
     last_k = F.floor((_month_index(pe) - _month_index(F.col("_anchor"))) / F.col("_step"))
     payable = (is_monthly | is_annual) & (F.col("price") > 0)
     sched = (rows.where(payable)
-             .withColumn("_anchor", anchor).withColumn("_step", step)
+             .withColumns({"_anchor": anchor, "_step": step})
              .where(F.col("_anchor") <= pe)
              .withColumn("_k", F.explode(F.sequence(F.lit(0), last_k.cast("int"))))
              .withColumn("payment_date", F.add_months(F.col("_anchor"), F.col("_k") * F.col("_step")))

@@ -53,8 +53,8 @@ def balance_segments(balances: DataFrame, keys, date_col: str, balance_col: str,
     """
     keys = _cols(keys)
     nxt = F.lead(date_col).over(Window.partitionBy(*keys).orderBy(date_col))
-    return (balances.withColumn("seg_start", F.col(date_col))
-            .withColumn("seg_end", F.coalesce(F.date_sub(nxt, 1), end_date))
+    return (balances.withColumns({"seg_start": F.col(date_col),
+                                  "seg_end": F.coalesce(F.date_sub(nxt, 1), end_date)})
             .where(F.col("seg_end") >= F.col("seg_start"))
             .select(*keys, "seg_start", "seg_end", balance_col))
 

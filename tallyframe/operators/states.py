@@ -40,7 +40,7 @@ def previous_in_sequence(df: DataFrame, keys, order_cols, value_cols, prefix: st
     if split is None:
         split = F.to_date(F.col(order_cols[0]))
     carried = F.struct(*[F.col(v).alias(v) for v in value_cols])
-    sliced = df.withColumn("_split", split).withColumn("_carried", carried)
+    sliced = df.withColumns({"_split": split, "_carried": carried})
 
     # The carried values break remaining ties, so the window order and the
     # edge rows agree on one total order (and a recomputed task agrees too).
@@ -62,9 +62,7 @@ def previous_in_sequence(df: DataFrame, keys, order_cols, value_cols, prefix: st
 
     joined = local.join(tails, on=[*keys, "_split"], how="left")
     prev = F.coalesce(F.col("_prev"), F.col("_handover"))
-    out = joined
-    for v in value_cols:
-        out = out.withColumn(prefix + v, prev[v])
+    out = joined.withColumns({prefix + v: prev[v] for v in value_cols})
     return out.drop("_split", "_carried", "_prev", "_handover")
 
 
@@ -78,13 +76,12 @@ def neighbours_in_sequence(df: DataFrame, keys, order_cols, prev_cols, next_cols
     prev_cols, next_cols = _cols(prev_cols), _cols(next_cols)
     if split is None:
         split = F.to_date(F.col(order_cols[0]))
-    sliced = (df.withColumn("_split", split)
-              .withColumn("_cp", F.struct(*[F.col(v).alias(v) for v in prev_cols]))
-              .withColumn("_cn", F.struct(*[F.col(v).alias(v) for v in next_cols])))
+    sliced = df.withColumns({"_split": split,
+                             "_cp": F.struct(*[F.col(v).alias(v) for v in prev_cols]),
+                             "_cn": F.struct(*[F.col(v).alias(v) for v in next_cols])})
     ordering = [*order_cols, "_cp", "_cn"]  # carried values break remaining ties
     in_slice = Window.partitionBy(*keys, "_split").orderBy(*[F.col(c) for c in ordering])
-    local = (sliced.withColumn("_lp", F.lag("_cp").over(in_slice))
-             .withColumn("_ln", F.lead("_cn").over(in_slice)))
+    local = sliced.withColumns({"_lp": F.lag("_cp").over(in_slice), "_ln": F.lead("_cn").over(in_slice)})
     position = F.struct(*[F.col(c) for c in ordering])
     edges = sliced.groupBy(*keys, "_split").agg(F.max_by("_cp", position).alias("_last"),
                                                  F.min_by("_cn", position).alias("_first"))
@@ -93,10 +90,8 @@ def neighbours_in_sequence(df: DataFrame, keys, order_cols, prev_cols, next_cols
                          F.lead("_first").over(over).alias("_hn"))
     out = local.join(edges, on=[*keys, "_split"], how="left")
     p, n = F.coalesce(F.col("_lp"), F.col("_hp")), F.coalesce(F.col("_ln"), F.col("_hn"))
-    for v in prev_cols:
-        out = out.withColumn(prev_prefix + v, p[v])
-    for v in next_cols:
-        out = out.withColumn(next_prefix + v, n[v])
+    out = out.withColumns({**{prev_prefix + v: p[v] for v in prev_cols},
+                           **{next_prefix + v: n[v] for v in next_cols}})
     return out.drop("_split", "_cp", "_cn", "_lp", "_ln", "_hp", "_hn")
 
 

@@ -372,8 +372,8 @@ def interest_compound(t):
     w = Window.partitionBy("customer_id").orderBy("month")
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     s = (_closing(t).select("customer_id", "month").join(k, on=["customer_id", "month"], how="left")
-         .withColumn("s_end", F.sum(F.coalesce(F.col("k_month"), F.lit(0.0))).over(running))
-         .withColumn("e", F.least(F.last_day("month"), end))
+         .withColumns({"s_end": F.sum(F.coalesce(F.col("k_month"), F.lit(0.0))).over(running),
+                       "e": F.least(F.last_day("month"), end)})
          .withColumn("b_end", F.col("s_end") * F.pow(F.lit(g), F.datediff("e", d0) + 1)))
     i = s.withColumn("interest", F.col("b_end") - F.coalesce(F.lag("b_end").over(w), F.lit(0.0))
                      - _dbl(F.coalesce(F.col("net_month"), F.lit(0))))
