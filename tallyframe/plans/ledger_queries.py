@@ -262,10 +262,6 @@ def _segments(t):
     return balance_segments(b, "customer_id", "txn_date", "balance", _end_date(t))
 
 
-def _month_last(col="month"):
-    return F.last_day(F.col(col))
-
-
 @query("allocation_trailing_30d", oracle=f"""
 WITH {_LEDGER_SQL},
 days AS (
