@@ -93,7 +93,7 @@ def counted_items_by_kind(df: DataFrame, group_cols, item_col: str, kind_col: st
 
 
 def rank_percentiles(df: DataFrame, group_cols, value_col: str,
-                     percentiles: Mapping[str, float | str | Decimal]) -> DataFrame:
+                     percentiles: Mapping[str, float | str | Decimal], by_digits: bool = False) -> DataFrame:
     """Rank-based percentiles per group: for each ``name -> p`` the mean of the
     values at 1-based ranks floor(n·p) and ceil(n·p) of the group's ascending
     order (rank 0 does not exist, so for n·p < 1 only rank ceil(n·p) counts).
@@ -101,13 +101,67 @@ def rank_percentiles(df: DataFrame, group_cols, value_col: str,
 
     The rows are first reduced to a histogram (group, value, count) with a
     partial aggregate; see ``rank_percentiles_from_histogram``.
+    ``by_digits=True`` (integer, date or timestamp values) ranks by 16-bit
+    digits of the value instead, so no window ever spans more than 65,536
+    entries whatever the number of distinct values in a group.
     """
     group_cols = _cols(group_cols)
     hist = (df.where(F.col(value_col).isNotNull())
             .groupBy(*group_cols, value_col).agg(F.count("*").alias("_cnt")))
+    if by_digits:
+        return _percentiles_from_ranks(digit_ranks(hist, group_cols, value_col, "_cnt"), group_cols, value_col,
+                                       percentiles)
     return rank_percentiles_from_histogram(hist, group_cols, value_col, "_cnt", percentiles)
 
 
+_DIGIT_BITS = 16
+_LEVELS = 4
+
+
+def _ordered_key(col: Column, dtype: str) -> Column:
+    """An order-preserving, one-to-one signed long for an integral, date or
+    timestamp value (timestamps as microseconds from the epoch, no zone shift)."""
+    if dtype == "date":
+        return F.unix_date(col).cast("long")
+    if dtype.startswith("timestamp"):
+        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast(dtype), col)
+    return col.cast("long")
+
+
+def digit_ranks(hist: DataFrame, group_cols, value_col: str, count_col: str) -> DataFrame:
+    """Rank interval [_lo, _hi] of every histogram row (group, value, count)
+    within its group in ascending value order, plus the group size ``_n``.
+
+    The value is mapped to an unsigned 64-bit key and cut into four 16-bit
+    digits.  The count of smaller values is the sum of four offsets, one per
+    digit level, each a running sum over at most 65,536 sibling digits:
+    every window is bounded no matter how many distinct values a group has.
+    """
+    group_cols = _cols(group_cols)
+    dtype = hist.schema[value_col].dataType.simpleString()
+    key = _ordered_key(F.col(value_col), dtype)
+    # Flip the sign bit: unsigned order of the bits = signed order of the value.
+    flipped = key.bitwiseXOR(F.lit(-(1 << 63)))
+    digits = {f"_d{i}": F.shiftrightunsigned(flipped, _DIGIT_BITS * (_LEVELS - 1 - i)).bitwiseAND(0xFFFF)
+              for i in range(_LEVELS)}
+    h = hist.withColumns(digits)
+    d = [f"_d{i}" for i in range(_LEVELS)]
+    offsets = h
+    for level in range(_LEVELS):
+        parent = [*group_cols, *d[:level]]
+        below = Window.partitionBy(*parent).orderBy(d[level]).rowsBetween(Window.unboundedPreceding, -1)
+        if level < _LEVELS - 1:
+            sums = h.groupBy(*parent, d[level]).agg(F.sum(count_col).alias("_s"))
+            sums = sums.select(*parent, d[level], F.coalesce(F.sum("_s").over(below), F.lit(0)).alias(f"_o{level}"))
+            offsets = offsets.join(sums, on=[*parent, d[level]], how="inner")
+        else:  # last digit: one row per distinct value already
+            offsets = offsets.withColumn(f"_o{level}", F.coalesce(F.sum(count_col).over(below), F.lit(0)))
+    total = h.groupBy(*group_cols).agg(F.sum(count_col).alias("_n"))
+    lo = sum((F.col(f"_o{i}") for i in range(1, _LEVELS)), F.col("_o0")) + 1
+    return (offsets.join(total, on=group_cols, how="inner")
+            .select(*group_cols, value_col, lo.alias("_lo"), (lo + F.col(count_col) - 1).alias("_hi"), "_n"))
+
+
 def rank_percentiles_from_histogram(hist: DataFrame, group_cols, value_col: str, count_col: str,
                                     percentiles: Mapping[str, float | str | Decimal]) -> DataFrame:
     """``rank_percentiles`` over a histogram (group, value, count of rows).
@@ -125,6 +179,13 @@ def rank_percentiles_from_histogram(hist: DataFrame, group_cols, value_col: str,
     n = F.sum(count_col).over(whole)
     cum = hist.select(*group_cols, value_col, (hi - F.col(count_col) + 1).alias("_lo"), hi.alias("_hi"),
                       n.alias("_n"))
+    return _percentiles_from_ranks(cum, group_cols, value_col, percentiles)
+
+
+def _percentiles_from_ranks(cum: DataFrame, group_cols, value_col: str,
+                            percentiles: Mapping[str, float | str | Decimal]) -> DataFrame:
+    """Per group, the rank percentiles from rows (group, value, _lo, _hi, _n)."""
+    group_cols = _cols(group_cols)
     # Target ranks once per row (exact decimal n·p), then plain comparisons.
     ranks = {}
     for i, p in enumerate(percentiles.values()):

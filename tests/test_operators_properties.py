@@ -152,3 +152,34 @@ def test_month_end_and_window_sums_match_daily_spine(spark, seed):
     for (c, day), b in bal.items():
         exp[(c, day.replace(day=1))] += b
     assert got == dict(exp)
+
+
+@pytest.mark.parametrize("seed", [13, 14])
+def test_rank_percentiles_by_digits(spark, seed):
+    """The digit-level ranking equals the histogram ranking, for wide ranges,
+    negative values, a hot group, dates and timestamps."""
+    rnd = random.Random(seed)
+    vals = [rnd.choice([rnd.randint(-10**12, 10**12), rnd.randint(-5, 5), 70000, 70001, 65535, 65536])
+            for _ in range(500)]
+    rows = [(rnd.choice([1, 1, 1, 2, 3]), v, D0 + dt.timedelta(days=v % 5000),
+             dt.datetime(2020, 1, 1) + dt.timedelta(microseconds=v % 10**11)) for v in vals]
+    df = spark.createDataFrame(rows, "g int, v long, d date, t timestamp")
+    ps = {"p50": "0.5", "p80": "0.8", "p95": "0.95", "p1": "0.01"}
+    for col in ("v", "d", "t"):
+        base = df.select("g", col)
+        if col != "v":   # percentiles of dates/timestamps compared via their long keys
+            base = base.withColumn(col, F.unix_micros(F.col(col).cast("timestamp")) if col == "t"
+                                   else F.unix_date(col))
+        exp = {r["g"]: r for r in rank_percentiles(base, "g", col, ps).collect()}
+        got = {r["g"]: r for r in rank_percentiles(base, "g", col, ps, by_digits=True).collect()}
+        assert got == exp, col
+    # the value types themselves go through the key mapping
+    from tallyframe.operators.aggs import digit_ranks
+    hist = df.groupBy("g", "d").agg(F.count("*").alias("c"))
+    ranks = {(r["g"], r["d"]): (r["_lo"], r["_hi"]) for r in digit_ranks(hist, "g", "d", "c").collect()}
+    by_group = defaultdict(list)
+    for g, _, d, _ in rows:
+        by_group[g].append(d)
+    for (g, d), (lo, hi) in ranks.items():
+        vs = sorted(by_group[g])
+        assert lo == vs.index(d) + 1 and hi == len(vs) - vs[::-1].index(d)
