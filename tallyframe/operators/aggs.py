@@ -23,12 +23,12 @@ def share_of_total(df: DataFrame, value_col: str, out_col: str = "percentage",
     job), not an un-partitioned window, so rows are never gathered into one task.
     """
     total = df.agg(F.sum(value_col)).scalar()
-    return df.withColumn(out_col, F.col(value_col) * F.lit(scale) / total)
+    return df.withColumn(out_col, F.try_divide(F.col(value_col) * F.lit(scale), total))
 
 
 def rate(numerator: Column, denominator: Column, scale: float = 100.0) -> Column:
-    """``numerator * scale / denominator`` as a double (an aggregate expression)."""
-    return numerator * F.lit(scale) / denominator
+    """``numerator * scale / denominator`` as a double (NULL for a zero denominator)."""
+    return F.try_divide(numerator * F.lit(scale), denominator)
 
 
 def arg_max_ties(df: DataFrame, value_col: str) -> DataFrame:
@@ -220,7 +220,8 @@ def percent_half_up(numerator: Column, denominator: Column, digits: int = 1) ->
     Both arguments are non-negative counts."""
     scale = 10 ** digits
     d = denominator.cast("long")
-    return _int_div(numerator.cast("long") * (200 * scale) + d, d * 2) / F.lit(float(scale))
+    value = _int_div(numerator.cast("long") * (200 * scale) + d, d * 2) / F.lit(float(scale))
+    return F.when(d > 0, value)  # NULL for an empty input, as SQL division by zero
 
 
 def mean_half_up(total: Column, count: Column, digits: int = 2) -> Column:
@@ -229,4 +230,4 @@ def mean_half_up(total: Column, count: Column, digits: int = 2) -> Column:
     scale = 10 ** digits
     c = count.cast("long")
     mag = _int_div(F.abs(total).cast("long") * (2 * scale) + c, c * 2)
-    return F.signum(total) * mag / F.lit(float(scale))
+    return F.when(c > 0, F.signum(total) * mag / F.lit(float(scale)))

@@ -83,8 +83,9 @@ def month_end_balances(txns: DataFrame, keys, date_col: str, net_col: str, end_d
     monthly = txns.groupBy(*keys, F.trunc(date_col, "month").alias("_m")).agg(F.sum(net_col).alias("_net"))
     per_key = monthly.groupBy(*keys).agg(
         F.map_from_entries(F.collect_list(F.struct("_m", "_net"))).alias("_nets"), F.min("_m").alias("_first"))
-    months = F.sequence(F.col("_first"), F.trunc(end_date, "month"), F.expr("INTERVAL 1 MONTH"))
-    spine = per_key.select(*keys, "_nets", F.explode(months).alias("month"))
+    last = F.trunc(end_date, "month")
+    months = F.sequence(F.col("_first"), last, F.expr("INTERVAL 1 MONTH"))
+    spine = per_key.where(F.col("_first") <= last).select(*keys, "_nets", F.explode(months).alias("month"))
     w = Window.partitionBy(*keys).orderBy("month").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (spine.withColumn("month_net", F.coalesce(F.try_element_at("_nets", F.col("month")), zero))
             .drop("_nets")

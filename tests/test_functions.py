@@ -66,3 +66,12 @@ def test_tableset_from_catalog_and_views(spark):
     spark.sql("CREATE DATABASE IF NOT EXISTS tf_test_db")
     t.region.write.mode("overwrite").saveAsTable("tf_test_db.region")
     assert TableSet(spark, database="tf_test_db").region.count() == 5
+
+
+def test_empty_and_zero_inputs(spark):
+    df = spark.createDataFrame([(0, 0, 5)], "n long, d long, t long")
+    r = df.select(percent_half_up(F.col("n"), F.col("d")).alias("p"), mean_half_up(F.col("t"), F.col("d")).alias("m")).first()
+    assert r["p"] is None and r["m"] is None
+    from tallyframe.operators.ledger import month_end_balances
+    txns = spark.createDataFrame([(1, dt.date(2020, 5, 2), 10)], "c int, d date, amt long")
+    assert month_end_balances(txns, "c", "d", "amt", F.lit(dt.date(2020, 3, 1))).count() == 0
