@@ -41,3 +41,16 @@ def days_between(later, earlier) -> Column:
 
 def month_start(col) -> Column:
     return F.trunc(_c(col), "month")
+
+
+def in_year(col: str, year: int, col_type: str = "date") -> Column:
+    """``year(col) = year`` as a range on the raw column, which the parquet
+    scan can use to skip row groups (a function of the column cannot)."""
+    lo = F.lit(f"{year:04d}-01-01").cast(col_type)
+    hi = F.lit(f"{year + 1:04d}-01-01").cast(col_type)
+    return (F.col(col) >= lo) & (F.col(col) < hi)
+
+
+def after_year(col: str, year: int, col_type: str = "date") -> Column:
+    """``year(col) > year`` as a range on the raw column (pushed to the scan)."""
+    return F.col(col) >= F.lit(f"{year + 1:04d}-01-01").cast(col_type)

@@ -12,6 +12,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from tallyframe.functions.calendar import after_year, in_year
 from tallyframe.operators.aggs import mean_half_up, percent_half_up, share_of_total
 from tallyframe.operators.states import as_of_state, first_to_first_days, transitions
 from tallyframe.plans.registry import query
@@ -64,7 +65,7 @@ GROUP BY c.c_mktsegment
 def late_orders_by_segment(t):
     """Rows starting after a year, per dimension name.  Orders are counted per
     customer first, so the customer join sees one row per customer."""
-    per_cust = (t.orders.where(F.year("o_orderdate") > 1998)
+    per_cust = (t.orders.where(after_year("o_orderdate", 1998, "timestamp_ntz"))
                 .groupBy("o_custkey").agg(F.count("*").alias("_n")))
     return (per_cust.join(t.customer.select("c_custkey", "c_mktsegment"), F.col("o_custkey") == F.col("c_custkey"))
             .groupBy("c_mktsegment").agg(F.sum("_n").alias("n_orders")))
@@ -134,7 +135,7 @@ WHERE p.p_name ILIKE '%ring%' AND year(l.l_shipdate) = 1998
 """)
 def matching_parts_in_year(t):
     """Rows in a year whose dimension name matches a pattern (case-insensitive)."""
-    per_part = (t.lineitem.where(F.year("l_shipdate") == 1998)
+    per_part = (t.lineitem.where(in_year("l_shipdate", 1998, "timestamp_ntz"))
                 .groupBy("l_partkey").agg(F.count("*").alias("_n")))
     parts = t.part.where(F.col("p_name").ilike("%ring%")).select("p_partkey")
     return (per_part.join(parts, F.col("l_partkey") == F.col("p_partkey"))
@@ -185,7 +186,7 @@ def avg_periods_first_view_to_purchase(t):
 SELECT COUNT(*) AS n_orders FROM orders WHERE o_orderstatus = 'F' AND year(o_orderdate) = 1996
 """)
 def starts_in_year(t):
-    return (t.orders.where((F.col("o_orderstatus") == "F") & (F.year("o_orderdate") == 1996))
+    return (t.orders.where((F.col("o_orderstatus") == "F") & in_year("o_orderdate", 1996, "timestamp_ntz"))
             .agg(F.count("*").alias("n_orders")))
 
 

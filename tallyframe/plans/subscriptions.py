@@ -10,6 +10,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyframe.functions.calendar import after_year, in_year
 from tallyframe.operators.aggs import percent_half_up, share_of_total
 from tallyframe.operators.billing import payment_schedule
 from tallyframe.operators.states import as_of_state, first_to_first_days, transitions
@@ -44,7 +45,7 @@ def trial_starts_per_month(subs: DataFrame) -> DataFrame:
 
 
 def starts_after_year(subs: DataFrame, plans: DataFrame, year: int = 2020) -> DataFrame:
-    return (subs.where(F.year("start_date") > year).join(F.broadcast(plans), "plan_id")
+    return (subs.where(after_year("start_date", year)).join(F.broadcast(plans), "plan_id")
             .groupBy("plan_name").agg(F.count("*").alias("n")))
 
 
@@ -93,7 +94,7 @@ def plan_breakdown_as_of(subs: DataFrame, plans: DataFrame, day=dt.date(2020, 12
 
 
 def annual_upgrades_in_year(subs: DataFrame, plans: DataFrame, year: int = 2020) -> DataFrame:
-    return (subs.where(F.year("start_date") == year)
+    return (subs.where(in_year("start_date", year))
             .join(F.broadcast(plans.where(F.col("plan_name").ilike("%annual%")).select("plan_id")), "plan_id")
             .agg(F.count("*").alias("number_customer_upgraded_annual")))
 
@@ -124,7 +125,7 @@ def days_to_annual_buckets(subs: DataFrame, width: int = 30) -> DataFrame:
 
 
 def basic_starts_in_year_literal(subs: DataFrame, year: int = 2020) -> DataFrame:
-    return subs.where((F.col("plan_id") == BASIC) & (F.year("start_date") == year)).agg(F.count("*").alias("n"))
+    return subs.where((F.col("plan_id") == BASIC) & in_year("start_date", year)).agg(F.count("*").alias("n"))
 
 
 def downgrades_in_year(subs: DataFrame, year: int = 2020) -> DataFrame:
