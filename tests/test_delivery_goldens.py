@@ -115,3 +115,12 @@ def test_ratings(spark, shop):
         (2, "rating out of range"), (6, "parent not eligible"), (42, "unknown parent")]
     detail = D.delivery_detail(shop, v.where("reject_reason is null"))
     assert rows(detail, "order_id", "minutes_to_pickup", "total_pizzas") == [(1, 10, 1)]
+
+
+def test_rate_orders_procedure(spark, shop, tmp_path):
+    target = str(tmp_path / "order_rating")
+    rej = D.rate_orders(shop, frame(spark, "order_id int, rating int", [(8, 4)]), target)
+    assert rej.count() == 0
+    rej = D.rate_orders(shop, frame(spark, "order_id int, rating int", [(9, 5)]), target)
+    assert rows(rej, "order_id", "reject_reason") == [(9, "parent not eligible")]
+    assert rows(spark.read.parquet(target)) == [(8, 2, 4)]
