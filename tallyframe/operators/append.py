@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyframe.session import checkpoint_dir
+
 
 def _cols(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
@@ -45,9 +47,13 @@ def validated_append(candidates: DataFrame, parents: DataFrame, key, eligible: C
                      fmt: str = "parquet") -> DataFrame:
     """Append the accepted candidates to ``target_path`` and return the rejects.
 
-    One set-at-a-time job: the write is a distributed append (each task writes
-    its own file; a failed task's files are discarded by the commit protocol).
+    The validation is computed once and checkpointed to the shared checkpoint
+    folder, so the append and the returned rejects come from the same
+    materialized result (no second validation, no lineage back to the
+    parents).  The append itself is a distributed write: each task writes its
+    own files and a failed task's files are discarded by the commit protocol.
     """
-    v = validate_candidates(candidates, parents, key, eligible, carry_cols, checks)
+    checkpoint_dir(candidates.sparkSession)
+    v = validate_candidates(candidates, parents, key, eligible, carry_cols, checks).checkpoint(eager=True)
     accepted(v).select(*_cols(target_cols)).write.mode("append").format(fmt).save(target_path)
     return rejected(v)
