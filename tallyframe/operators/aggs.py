@@ -101,7 +101,7 @@ def rank_percentiles(df: DataFrame, group_cols, value_col: str,
 
     The rows are first reduced to a histogram (group, value, count) with a
     partial aggregate; see ``rank_percentiles_from_histogram``.
-    ``by_digits=True`` (integer, date or timestamp values) ranks by 16-bit
+    ``by_digits=True`` (any numeric, date or timestamp value) ranks by 16-bit
     digits of the value instead, so no window ever spans more than 65,536
     entries whatever the number of distinct values in a group.
     """
@@ -119,15 +119,39 @@ _LEVELS = 4
 
 
 def _ordered_key(col: Column, dtype: str) -> Column:
-    """An order-preserving, one-to-one signed long for an integral, date or
-    timestamp value (timestamps as microseconds from the epoch, no zone shift)."""
+    """An order-preserving, one-to-one signed long for an integral, date,
+    timestamp (microseconds from the epoch, no zone shift) or floating-point
+    value."""
     if dtype == "date":
         return F.unix_date(col).cast("long")
     if dtype.startswith("timestamp"):
         return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast(dtype), col)
+    if dtype in ("double", "float"):
+        return double_key(col.cast("double"))
     return col.cast("long")
 
 
+def double_key(x: Column) -> Column:
+    """The IEEE-754 bit pattern of |x| (exponent field, then 52 mantissa bits)
+    as a long, negated for negative x: ordered like the values, one-to-one
+    on finite values (0.0 and -0.0 meet, as SQL compares them equal), +inf
+    above every finite value and NaN above +inf.  Pure arithmetic: the
+    exponent is floor(log2|x|) corrected by one step where rounding of the
+    logarithm missed a power of two; dividing by a power of two is exact."""
+    a = F.abs(x)
+    e0 = F.floor(F.log2(a))
+    e = (F.when(F.pow(F.lit(2.0), e0) > a, e0 - 1)
+         .when(F.pow(F.lit(2.0), e0 + 1) <= a, e0 + 1).otherwise(e0))
+    e = F.greatest(e, F.lit(-1022)).cast("long")
+    m = a / F.pow(F.lit(2.0), e)                        # [1, 2) normal, [0, 1) subnormal
+    frac = F.when(m >= 1, m - 1).otherwise(m) * F.lit(float(1 << 52))
+    exp_field = F.when(m >= 1, e + 1023).otherwise(F.lit(0)).cast("long")
+    bits = F.shiftleft(exp_field, 52) + frac.cast("long")
+    bits = (F.when(a == 0, F.lit(0)).when(F.isnan(x), F.lit((1 << 63) - 1))
+            .when(a == float("inf"), F.lit(0x7FF << 52)).otherwise(bits)).cast("long")
+    return F.when(x < 0, -bits).otherwise(bits)
+
+
 def digit_ranks(hist: DataFrame, group_cols, value_col: str, count_col: str) -> DataFrame:
     """Rank interval [_lo, _hi] of every histogram row (group, value, count)
     within its group in ascending value order, plus the group size ``_n``.

@@ -183,3 +183,33 @@ def test_rank_percentiles_by_digits(spark, seed):
     for (g, d), (lo, hi) in ranks.items():
         vs = sorted(by_group[g])
         assert lo == vs.index(d) + 1 and hi == len(vs) - vs[::-1].index(d)
+
+
+def test_double_key_is_the_ieee_order(spark):
+    import struct
+    from tallyframe.operators.aggs import double_key
+    rnd = random.Random(21)
+    vals = [0.0, -0.0, 1.0, -1.0, 2.0, 0.5, 3.0, 1e-310, -1e-310, 5e-324, 2.2250738585072014e-308,
+            1.7976931348623157e308, -1.7976931348623157e308, float("inf"), float("-inf")]
+    vals += [rnd.uniform(-1e6, 1e6) for _ in range(300)] + [rnd.choice([-1, 1]) * 2.0 ** rnd.randint(-1074, 1023)
+                                                              for _ in range(300)]
+    vals += [math.nextafter(2.0 ** k, 0) for k in range(-60, 60)] + [math.nextafter(2.0 ** k, 10) for k in range(-60, 60)]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    got = [(r[0], r[1]) for r in df.select("x", double_key(F.col("x"))).collect()]
+    for x, k in got:
+        bits = struct.unpack(">q", struct.pack(">d", abs(x)))[0]
+        assert k == (-bits if x < 0 else bits), x
+    keys = sorted(got, key=lambda t: t[1])
+    assert [x for x, _ in keys] == sorted(x for x, _ in got) or all(
+        a[0] <= b[0] for a, b in zip(keys, keys[1:]))
+
+
+def test_rank_percentiles_by_digits_doubles(spark):
+    rnd = random.Random(22)
+    rows = [(rnd.choice([1, 1, 2]), rnd.choice([rnd.gauss(0, 1e5), rnd.random(), -rnd.random(), 0.0, 1e-300]))
+            for _ in range(400)]
+    df = spark.createDataFrame(rows, "g int, v double")
+    ps = {"p50": "0.5", "p95": "0.95", "p10": "0.1"}
+    exp = {r["g"]: r for r in rank_percentiles(df, "g", "v", ps).collect()}
+    got = {r["g"]: r for r in rank_percentiles(df, "g", "v", ps, by_digits=True).collect()}
+    assert got == exp
