@@ -108,10 +108,7 @@ def rank_percentiles(df: DataFrame, group_cols, value_col: str,
     group_cols = _cols(group_cols)
     hist = (df.where(F.col(value_col).isNotNull())
             .groupBy(*group_cols, value_col).agg(F.count("*").alias("_cnt")))
-    if by_digits:
-        return _percentiles_from_ranks(digit_ranks(hist, group_cols, value_col, "_cnt"), group_cols, value_col,
-                                       percentiles)
-    return rank_percentiles_from_histogram(hist, group_cols, value_col, "_cnt", percentiles)
+    return rank_percentiles_from_histogram(hist, group_cols, value_col, "_cnt", percentiles, by_digits)
 
 
 _DIGIT_BITS = 16
@@ -187,15 +184,20 @@ def digit_ranks(hist: DataFrame, group_cols, value_col: str, count_col: str) ->
 
 
 def rank_percentiles_from_histogram(hist: DataFrame, group_cols, value_col: str, count_col: str,
-                                    percentiles: Mapping[str, float | str | Decimal]) -> DataFrame:
+                                    percentiles: Mapping[str, float | str | Decimal],
+                                    by_digits: bool = False) -> DataFrame:
     """``rank_percentiles`` over a histogram (group, value, count of rows).
 
     The running count is a window over the *distinct* values of a group, not
     over its rows, so a group holding a third of all rows costs no more than
     its number of distinct values.  Each target rank is located as the
     histogram row whose [first rank, last rank] interval contains it.
+    ``by_digits``: rank intervals from ``digit_ranks`` (bounded windows).
     """
     group_cols = _cols(group_cols)
+    if by_digits:
+        return _percentiles_from_ranks(digit_ranks(hist, group_cols, value_col, count_col), group_cols, value_col,
+                                       percentiles)
     by_value = Window.partitionBy(*group_cols).orderBy(value_col) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     whole = Window.partitionBy(*group_cols)
