@@ -22,6 +22,14 @@ def _cols(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
+def _slice_columns(keys: list[str], split: Column) -> dict[str, Column]:
+    """The slice of a row as two non-NULL struct columns: the key and the
+    split.  Partitioning, grouping and joining on them treats a NULL key (or
+    a NULL time) as one group, as a window partition does, while the join
+    stays a plain equi-join on the window's own partitioning (no reshuffle)."""
+    return {"_key": F.struct(*[F.col(k) for k in keys]), "_sk": F.struct(split.alias("s"))}
+
+
 def previous_in_sequence(df: DataFrame, keys, order_cols, value_cols, prefix: str = "prev_",
                          split: Column | None = None, direction: str = "previous") -> DataFrame:
     """Add ``prefix + v`` = the value of ``v`` on the previous row of the same
@@ -40,14 +48,14 @@ def previous_in_sequence(df: DataFrame, keys, order_cols, value_cols, prefix: st
     if split is None:
         split = F.to_date(F.col(order_cols[0]))
     carried = F.struct(*[F.col(v).alias(v) for v in value_cols])
-    sliced = df.withColumns({"_split": split, "_carried": carried})
+    sliced = df.withColumns({**_slice_columns(keys, split), "_carried": carried})
 
     # The carried values break remaining ties, so the window order and the
     # edge rows agree on one total order (and a recomputed task agrees too).
     ordering = [*order_cols, "_carried"]
     asc = [F.col(c).asc() for c in ordering]
     desc = [F.col(c).desc() for c in ordering]
-    in_slice = Window.partitionBy(*keys, "_split").orderBy(*(asc if forward else desc))
+    in_slice = Window.partitionBy("_key", "_sk").orderBy(*(asc if forward else desc))
     local = sliced.withColumn("_prev", F.lag("_carried").over(in_slice))
 
     # Edge row of every slice, then the neighbouring slice's edge row per slice.
@@ -56,14 +64,14 @@ def previous_in_sequence(df: DataFrame, keys, order_cols, value_cols, prefix: st
     # where sharing the window's output would need a second full shuffle.
     position = F.struct(*[F.col(c) for c in ordering])
     edge = F.max_by("_carried", position) if forward else F.min_by("_carried", position)
-    tails = sliced.groupBy(*keys, "_split").agg(edge.alias("_tail"))
-    over_slices = Window.partitionBy(*keys).orderBy(F.col("_split").asc() if forward else F.col("_split").desc())
-    tails = tails.withColumn("_handover", F.lag("_tail").over(over_slices)).select(*keys, "_split", "_handover")
+    tails = sliced.groupBy("_key", "_sk").agg(edge.alias("_tail"))
+    over_slices = Window.partitionBy("_key").orderBy(F.col("_sk").asc() if forward else F.col("_sk").desc())
+    tails = tails.withColumn("_handover", F.lag("_tail").over(over_slices)).select("_key", "_sk", "_handover")
 
-    joined = local.join(tails, on=[*keys, "_split"], how="left")
+    joined = local.join(tails, on=["_key", "_sk"], how="left")
     prev = F.coalesce(F.col("_prev"), F.col("_handover"))
     out = joined.withColumns({prefix + v: prev[v] for v in value_cols})
-    return out.drop("_split", "_carried", "_prev", "_handover")
+    return out.drop("_key", "_sk", "_carried", "_prev", "_handover")
 
 
 def neighbours_in_sequence(df: DataFrame, keys, order_cols, prev_cols, next_cols,
@@ -76,23 +84,23 @@ def neighbours_in_sequence(df: DataFrame, keys, order_cols, prev_cols, next_cols
     prev_cols, next_cols = _cols(prev_cols), _cols(next_cols)
     if split is None:
         split = F.to_date(F.col(order_cols[0]))
-    sliced = df.withColumns({"_split": split,
+    sliced = df.withColumns({**_slice_columns(keys, split),
                              "_cp": F.struct(*[F.col(v).alias(v) for v in prev_cols]),
                              "_cn": F.struct(*[F.col(v).alias(v) for v in next_cols])})
     ordering = [*order_cols, "_cp", "_cn"]  # carried values break remaining ties
-    in_slice = Window.partitionBy(*keys, "_split").orderBy(*[F.col(c) for c in ordering])
+    in_slice = Window.partitionBy("_key", "_sk").orderBy(*[F.col(c) for c in ordering])
     local = sliced.withColumns({"_lp": F.lag("_cp").over(in_slice), "_ln": F.lead("_cn").over(in_slice)})
     position = F.struct(*[F.col(c) for c in ordering])
-    edges = sliced.groupBy(*keys, "_split").agg(F.max_by("_cp", position).alias("_last"),
-                                                 F.min_by("_cn", position).alias("_first"))
-    over = Window.partitionBy(*keys).orderBy("_split")
-    edges = edges.select(*keys, "_split", F.lag("_last").over(over).alias("_hp"),
+    edges = sliced.groupBy("_key", "_sk").agg(F.max_by("_cp", position).alias("_last"),
+                                               F.min_by("_cn", position).alias("_first"))
+    over = Window.partitionBy("_key").orderBy("_sk")
+    edges = edges.select("_key", "_sk", F.lag("_last").over(over).alias("_hp"),
                          F.lead("_first").over(over).alias("_hn"))
-    out = local.join(edges, on=[*keys, "_split"], how="left")
+    out = local.join(edges, on=["_key", "_sk"], how="left")
     p, n = F.coalesce(F.col("_lp"), F.col("_hp")), F.coalesce(F.col("_ln"), F.col("_hn"))
     out = out.withColumns({**{prev_prefix + v: p[v] for v in prev_cols},
                            **{next_prefix + v: n[v] for v in next_cols}})
-    return out.drop("_split", "_cp", "_cn", "_lp", "_ln", "_hp", "_hn")
+    return out.drop("_key", "_sk", "_cp", "_cn", "_lp", "_ln", "_hp", "_hn")
 
 
 def sequence_number(df: DataFrame, keys, order_cols, out_col: str = "seq_no",
@@ -106,15 +114,15 @@ def sequence_number(df: DataFrame, keys, order_cols, out_col: str = "seq_no",
     keys, order_cols = _cols(keys), _cols(order_cols)
     if split is None:
         split = F.to_date(F.col(order_cols[0]))
-    sliced = df.withColumn("_split", split)
+    sliced = df.withColumns(_slice_columns(keys, split))
     local = sliced.withColumn("_rn", F.row_number().over(
-        Window.partitionBy(*keys, "_split").orderBy(*[F.col(c) for c in order_cols])))
-    counts = sliced.groupBy(*keys, "_split").agg(F.count("*").alias("_cnt"))
-    before = Window.partitionBy(*keys).orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy("_key", "_sk").orderBy(*[F.col(c) for c in order_cols])))
+    counts = sliced.groupBy("_key", "_sk").agg(F.count("*").alias("_cnt"))
+    before = Window.partitionBy("_key").orderBy("_sk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(before), F.lit(0))).drop("_cnt")
-    return (local.join(offsets, on=[*keys, "_split"], how="left")
+    return (local.join(offsets, on=["_key", "_sk"], how="left")
             .withColumn(out_col, (F.col("_rn") + F.col("_off")).cast("int"))
-            .drop("_split", "_rn", "_off"))
+            .drop("_key", "_sk", "_rn", "_off"))
 
 
 def state_changes(df: DataFrame, key, time_col: str, state_col: str, tie_cols: Sequence[str] = (),

@@ -22,7 +22,7 @@ def _history(seed, n=600, hot_share=0.4):
     rnd = random.Random(seed)
     rows = []
     for i in range(n):
-        key = 0 if rnd.random() < hot_share else rnd.randint(1, 8)
+        key = 0 if rnd.random() < hot_share else rnd.choice([1, 2, 3, 4, 5, 6, 7, 8, None])
         day = D0 + dt.timedelta(days=rnd.randint(0, 120))
         state = rnd.choice(["a", "b", "c", None]) if rnd.random() < 0.9 else None
         rows.append((key, day, i, state))   # i: unique tie-breaker
@@ -32,7 +32,7 @@ def _history(seed, n=600, hot_share=0.4):
 def _by_key(rows):
     g = defaultdict(list)
     for r in rows:
-        g[r[0]].append(r)
+        g[r[0]].append(r)   # a NULL key is one group, like a window partition
     for k in g:
         g[k].sort(key=lambda r: (r[1], r[2]))
     return g
