@@ -327,37 +327,28 @@ def interest_simple(t):
 
 
 @query("interest_compound", oracle=f"""
-WITH {_LEDGER_SQL},
-start AS (SELECT MIN(txn_date) AS d0 FROM ledger),
-k AS (
-  SELECT daily.customer_id, CAST(date_trunc('month', daily.txn_date) AS DATE) AS month,
-         SUM(CAST(daily.daily_net AS DOUBLE) * pow(1 + {RATE} / 365, -date_diff('day', start.d0, daily.txn_date)))
-           AS k_month,
-         SUM(daily.daily_net) AS net_month
-  FROM daily, start GROUP BY 1, 2),
-s AS (
-  SELECT c.customer_id, c.month,
-         SUM(COALESCE(k.k_month, 0)) OVER (PARTITION BY c.customer_id ORDER BY c.month
-                                           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS s_end,
-         COALESCE(k.net_month, 0) AS net_month,
-         least(last_day(c.month), (SELECT end_date FROM bounds)) AS e
-  FROM closing c LEFT JOIN k ON c.customer_id = k.customer_id AND c.month = k.month),
-b AS (
-  SELECT customer_id, month, net_month,
-         s_end * pow(1 + {RATE} / 365, date_diff('day', (SELECT d0 FROM start), e) + 1) AS b_end
-  FROM s),
-i AS (
-  SELECT month, b_end - COALESCE(lag(b_end) OVER (PARTITION BY customer_id ORDER BY month), 0)
-                - CAST(net_month AS DOUBLE) AS interest
-  FROM b)
-SELECT month, round(SUM(interest), 2) AS interest FROM i GROUP BY month
+WITH RECURSIVE {_LEDGER_SQL},
+daynet AS (SELECT customer_id, txn_date AS day, CAST(daily_net AS DOUBLE) AS net FROM daily),
+rec(customer_id, day, b) AS (
+  SELECT f.customer_id, f.first_date,
+         (SELECT d.net FROM daynet d WHERE d.customer_id = f.customer_id AND d.day = f.first_date) * (1 + {RATE} / 365)
+  FROM firsts f
+  UNION ALL
+  SELECT r.customer_id, CAST(r.day + 1 AS DATE),
+         (r.b + COALESCE((SELECT d.net FROM daynet d WHERE d.customer_id = r.customer_id AND d.day = r.day + 1), 0))
+         * (1 + {RATE} / 365)
+  FROM rec r, bounds WHERE r.day < bounds.end_date)
+SELECT CAST(date_trunc('month', day) AS DATE) AS month,
+       round(SUM(b - b / (1 + {RATE} / 365)), 2) AS interest
+FROM rec GROUP BY 1
 """)
 def interest_compound(t):
     """Daily compound interest (each day's end balance, interest included,
     grows by rate/365), summed per month over all customers.
 
     Closed form instead of a day-by-day loop: the end-of-day balance on day t
-    is (1+r)^(t+1) · Σ_{i≤t} net_i (1+r)^(-i), a running sum per account."""
+    is (1+r)^(t+1) · Σ_{i≤t} net_i (1+r)^(-i), a running sum per account.
+    (The oracle is the day-by-day recursion itself.)"""
     g = 1 + RATE / 365
     daily = _daily(t)
     d0 = ledger(t).agg(F.min("txn_date")).scalar()
