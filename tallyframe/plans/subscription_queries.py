@@ -143,14 +143,11 @@ def matching_parts_in_year(t):
 
 
 _FIRST_SQL = """
-f AS (
-  SELECT user_id,
-         MIN(CASE WHEN event_type = 'view' THEN ts END) AS first_view,
-         MIN(CASE WHEN event_type = 'purchase' THEN ts END) AS first_purchase
-  FROM events WHERE event_type IN ('view', 'purchase') GROUP BY user_id),
+v AS (SELECT user_id, MIN(ts) AS first_view FROM events WHERE event_type = 'view' GROUP BY user_id),
+p AS (SELECT user_id, MIN(ts) AS first_purchase FROM events WHERE event_type = 'purchase' GROUP BY user_id),
 d AS (
-  SELECT user_id, date_diff('day', CAST(first_view AS DATE), CAST(first_purchase AS DATE)) AS days
-  FROM f WHERE first_view IS NOT NULL AND first_purchase IS NOT NULL)
+  SELECT v.user_id, date_diff('day', CAST(v.first_view AS DATE), CAST(p.first_purchase AS DATE)) AS days
+  FROM v JOIN p ON v.user_id = p.user_id)
 """
 
 
@@ -208,14 +205,11 @@ def state_as_of(t):
 
 
 @query("days_to_fulfilment_buckets", oracle="""
-WITH f AS (
-  SELECT o_custkey,
-         MIN(CASE WHEN o_orderstatus = 'P' THEN o_orderdate END) AS first_p,
-         MIN(CASE WHEN o_orderstatus = 'F' THEN o_orderdate END) AS first_f
-  FROM orders WHERE o_orderstatus IN ('P', 'F') GROUP BY o_custkey),
+WITH a AS (SELECT o_custkey, MIN(o_orderdate) AS first_p FROM orders WHERE o_orderstatus = 'P' GROUP BY o_custkey),
+b AS (SELECT o_custkey, MIN(o_orderdate) AS first_f FROM orders WHERE o_orderstatus = 'F' GROUP BY o_custkey),
 d AS (
-  SELECT date_diff('day', CAST(first_p AS DATE), CAST(first_f AS DATE)) AS days
-  FROM f WHERE first_p IS NOT NULL AND first_f IS NOT NULL)
+  SELECT date_diff('day', CAST(a.first_p AS DATE), CAST(b.first_f AS DATE)) AS days
+  FROM a JOIN b ON a.o_custkey = b.o_custkey)
 SELECT CAST(floor(days / 30.0) * 30 AS BIGINT) AS bucket_start, COUNT(*) AS n_customers
 FROM d GROUP BY 1
 """)
