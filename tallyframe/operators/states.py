@@ -22,12 +22,45 @@ def _cols(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
-def _slice_columns(keys: list[str], split: Column) -> dict[str, Column]:
-    """The slice of a row as two non-NULL struct columns: the key and the
-    split.  Partitioning, grouping and joining on them treats a NULL key (or
-    a NULL time) as one group, as a window partition does, while the join
-    stays a plain equi-join on the window's own partitioning (no reshuffle)."""
-    return {"_key": F.struct(*[F.col(k) for k in keys]), "_sk": F.struct(split.alias("s"))}
+def _slice_columns(df: DataFrame, keys: list[str], split: Column) -> tuple[dict[str, Column], list[str], list[str]]:
+    """The slice of a row as non-NULL primitive columns: every key column and
+    the split become (value with NULL replaced, is-NULL flag) pairs.
+
+    Partitioning, grouping and joining on them treats a NULL key (or a NULL
+    time) as one group, as a window partition does, while the hand-over join
+    stays a plain equi-join on the window's own partitioning (no reshuffle)
+    and sorts stay on primitive columns.  Returns (columns to add, key column
+    names, split column names).
+    """
+    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+
+    def pair(name: str, col: Column, dtype: str | None) -> dict[str, Column]:
+        if dtype in (None, "date") or (dtype or "").startswith("timestamp"):
+            fill = F.lit("1970-01-01").cast(dtype or "date")
+        elif dtype == "string":
+            fill = F.lit("")
+        elif dtype == "boolean":
+            fill = F.lit(False)
+        else:
+            fill = F.lit(0).cast(dtype)
+        return {f"{name}_v": F.coalesce(col, fill), f"{name}_n": col.isNull()}
+
+    cols: dict[str, Column] = {}
+    key_names = []
+    for i, k in enumerate(keys):
+        cols.update(pair(f"_k{i}", F.col(k), types[k]))
+        key_names += [f"_k{i}_v", f"_k{i}_n"]
+    split_type = df.select(split.alias("s")).schema["s"].dataType.simpleString()
+    cols.update(pair("_s", split, split_type))
+    return cols, key_names, ["_s_n", "_s_v"]
+
+
+def _split_order(ascending: bool = True) -> list[Column]:
+    """Slices in time order: the NULL split (rows without a time) first, as
+    NULLs sort first in an ascending window."""
+    if ascending:
+        return [F.col("_s_n").desc(), F.col("_s_v").asc()]
+    return [F.col("_s_n").asc(), F.col("_s_v").desc()]
 
 
 def previous_in_sequence(df: DataFrame, keys, order_cols, value_cols, prefix: str = "prev_",
@@ -48,14 +81,15 @@ def previous_in_sequence(df: DataFrame, keys, order_cols, value_cols, prefix: st
     if split is None:
         split = F.to_date(F.col(order_cols[0]))
     carried = F.struct(*[F.col(v).alias(v) for v in value_cols])
-    sliced = df.withColumns({**_slice_columns(keys, split), "_carried": carried})
+    slice_cols, kc, sc = _slice_columns(df, keys, split)
+    sliced = df.withColumns({**slice_cols, "_carried": carried})
 
     # The carried values break remaining ties, so the window order and the
     # edge rows agree on one total order (and a recomputed task agrees too).
     ordering = [*order_cols, "_carried"]
     asc = [F.col(c).asc() for c in ordering]
     desc = [F.col(c).desc() for c in ordering]
-    in_slice = Window.partitionBy("_key", "_sk").orderBy(*(asc if forward else desc))
+    in_slice = Window.partitionBy(*kc, *sc).orderBy(*(asc if forward else desc))
     local = sliced.withColumn("_prev", F.lag("_carried").over(in_slice))
 
     # Edge row of every slice, then the neighbouring slice's edge row per slice.
@@ -64,14 +98,14 @@ def previous_in_sequence(df: DataFrame, keys, order_cols, value_cols, prefix: st
     # where sharing the window's output would need a second full shuffle.
     position = F.struct(*[F.col(c) for c in ordering])
     edge = F.max_by("_carried", position) if forward else F.min_by("_carried", position)
-    tails = sliced.groupBy("_key", "_sk").agg(edge.alias("_tail"))
-    over_slices = Window.partitionBy("_key").orderBy(F.col("_sk").asc() if forward else F.col("_sk").desc())
-    tails = tails.withColumn("_handover", F.lag("_tail").over(over_slices)).select("_key", "_sk", "_handover")
+    tails = sliced.groupBy(*kc, *sc).agg(edge.alias("_tail"))
+    over_slices = Window.partitionBy(*kc).orderBy(*_split_order(forward))
+    tails = tails.withColumn("_handover", F.lag("_tail").over(over_slices)).select(*kc, *sc, "_handover")
 
-    joined = local.join(tails, on=["_key", "_sk"], how="left")
+    joined = local.join(tails, on=[*kc, *sc], how="left")
     prev = F.coalesce(F.col("_prev"), F.col("_handover"))
     out = joined.withColumns({prefix + v: prev[v] for v in value_cols})
-    return out.drop("_key", "_sk", "_carried", "_prev", "_handover")
+    return out.drop(*slice_cols, "_carried", "_prev", "_handover")
 
 
 def neighbours_in_sequence(df: DataFrame, keys, order_cols, prev_cols, next_cols,
@@ -84,23 +118,24 @@ def neighbours_in_sequence(df: DataFrame, keys, order_cols, prev_cols, next_cols
     prev_cols, next_cols = _cols(prev_cols), _cols(next_cols)
     if split is None:
         split = F.to_date(F.col(order_cols[0]))
-    sliced = df.withColumns({**_slice_columns(keys, split),
+    slice_cols, kc, sc = _slice_columns(df, keys, split)
+    sliced = df.withColumns({**slice_cols,
                              "_cp": F.struct(*[F.col(v).alias(v) for v in prev_cols]),
                              "_cn": F.struct(*[F.col(v).alias(v) for v in next_cols])})
     ordering = [*order_cols, "_cp", "_cn"]  # carried values break remaining ties
-    in_slice = Window.partitionBy("_key", "_sk").orderBy(*[F.col(c) for c in ordering])
+    in_slice = Window.partitionBy(*kc, *sc).orderBy(*[F.col(c) for c in ordering])
     local = sliced.withColumns({"_lp": F.lag("_cp").over(in_slice), "_ln": F.lead("_cn").over(in_slice)})
     position = F.struct(*[F.col(c) for c in ordering])
-    edges = sliced.groupBy("_key", "_sk").agg(F.max_by("_cp", position).alias("_last"),
-                                               F.min_by("_cn", position).alias("_first"))
-    over = Window.partitionBy("_key").orderBy("_sk")
-    edges = edges.select("_key", "_sk", F.lag("_last").over(over).alias("_hp"),
+    edges = sliced.groupBy(*kc, *sc).agg(F.max_by("_cp", position).alias("_last"),
+                                          F.min_by("_cn", position).alias("_first"))
+    over = Window.partitionBy(*kc).orderBy(*_split_order())
+    edges = edges.select(*kc, *sc, F.lag("_last").over(over).alias("_hp"),
                          F.lead("_first").over(over).alias("_hn"))
-    out = local.join(edges, on=["_key", "_sk"], how="left")
+    out = local.join(edges, on=[*kc, *sc], how="left")
     p, n = F.coalesce(F.col("_lp"), F.col("_hp")), F.coalesce(F.col("_ln"), F.col("_hn"))
     out = out.withColumns({**{prev_prefix + v: p[v] for v in prev_cols},
                            **{next_prefix + v: n[v] for v in next_cols}})
-    return out.drop("_key", "_sk", "_cp", "_cn", "_lp", "_ln", "_hp", "_hn")
+    return out.drop(*slice_cols, "_cp", "_cn", "_lp", "_ln", "_hp", "_hn")
 
 
 def sequence_number(df: DataFrame, keys, order_cols, out_col: str = "seq_no",
@@ -114,15 +149,16 @@ def sequence_number(df: DataFrame, keys, order_cols, out_col: str = "seq_no",
     keys, order_cols = _cols(keys), _cols(order_cols)
     if split is None:
         split = F.to_date(F.col(order_cols[0]))
-    sliced = df.withColumns(_slice_columns(keys, split))
+    slice_cols, kc, sc = _slice_columns(df, keys, split)
+    sliced = df.withColumns(slice_cols)
     local = sliced.withColumn("_rn", F.row_number().over(
-        Window.partitionBy("_key", "_sk").orderBy(*[F.col(c) for c in order_cols])))
-    counts = sliced.groupBy("_key", "_sk").agg(F.count("*").alias("_cnt"))
-    before = Window.partitionBy("_key").orderBy("_sk").rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(*kc, *sc).orderBy(*[F.col(c) for c in order_cols])))
+    counts = sliced.groupBy(*kc, *sc).agg(F.count("*").alias("_cnt"))
+    before = Window.partitionBy(*kc).orderBy(*_split_order()).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(before), F.lit(0))).drop("_cnt")
-    return (local.join(offsets, on=["_key", "_sk"], how="left")
+    return (local.join(offsets, on=[*kc, *sc], how="left")
             .withColumn(out_col, (F.col("_rn") + F.col("_off")).cast("int"))
-            .drop("_key", "_sk", "_rn", "_off"))
+            .drop(*slice_cols, "_rn", "_off"))
 
 
 def state_changes(df: DataFrame, key, time_col: str, state_col: str, tie_cols: Sequence[str] = (),
