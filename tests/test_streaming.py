@@ -77,3 +77,41 @@ def test_daily_net_matches_batch_after_watermark(spark, tmp_path):
     exp = {(r[0], r[1]): round(r[2], 2) for r in
            o.groupBy("o_custkey", F.to_date("o_orderdate")).agg(F.sum(F.col("o_totalprice") * sign)).collect()}
     assert exp and all(got.get(k) == pytest.approx(v, abs=0.02) for k, v in exp.items())
+
+
+def test_daily_net_restarts_from_checkpoint(spark, tmp_path):
+    """A stopped query restarts from its checkpoint: the parquet sink ends up
+    with every final day exactly once."""
+    import pyarrow.compute as pc
+    import pyarrow.parquet as pq
+    from pyspark.sql import functions as F
+    tbl = pq.read_table(f"{SF}/orders.parquet")
+    d = tbl["o_orderdate"]
+    parts = [pc.less(d, pc.cast("1996-01-01", d.type)),
+             pc.and_(pc.greater_equal(d, pc.cast("1996-01-01", d.type)), pc.less(d, pc.cast("1997-01-01", d.type))),
+             pc.greater_equal(d, pc.cast("1997-01-01", d.type))]
+    land, out = tmp_path / "landing", tmp_path / "out"
+    land.mkdir()
+    schema = spark.read.parquet(f"{SF}/orders.parquet").schema
+
+    def run(name_suffix):
+        s = ledger_stream(spark, str(land), schema, account="o_custkey", when="o_orderdate",
+                          kind="o_orderstatus", amount="o_totalprice", signs={"F": 1, "O": -1, "P": -1})
+        q = (daily_net_stream(s, "1 day").select("account", F.col("day.start").alias("day"), "daily_net")
+             .writeStream.outputMode("append").format("parquet").option("path", str(out))
+             .option("checkpointLocation", str(tmp_path / "ckpt")).start())
+        q.processAllAvailable()
+        return q
+
+    pq.write_table(tbl.filter(parts[0]), land / "p0.parquet")
+    run("a").stop()                                  # stopped (as if the driver failed)
+    pq.write_table(tbl.filter(parts[1]), land / "p1.parquet")
+    pq.write_table(tbl.filter(parts[2]), land / "p2.parquet")
+    q = run("b")                                     # same checkpoint: resumes
+    q.stop()
+    got = spark.read.parquet(str(out))
+    assert got.count() == got.select("account", "day").distinct().count()   # no day twice
+    cutoff = spark.read.parquet(str(out)).agg(F.max("day")).first()[0]
+    orders = spark.read.parquet(f"{SF}/orders.parquet").where(F.col("o_orderdate") <= cutoff)
+    exp = orders.select("o_custkey", "o_orderdate").distinct().count()
+    assert got.count() == exp
