@@ -65,13 +65,20 @@ def payment_schedule(subs: DataFrame, plans: DataFrame, period_start, period_end
     deferred = is_annual & F.col("_p_" + plan_col).isin(list(defer_from))
     anchor = F.when(deferred, first_anniversary_on_or_after(prev_start, start)).otherwise(start)
     step = F.when(is_monthly, F.lit(1)).otherwise(F.lit(12))
-    # Number of steps from the anchor to the period end (the sequence of k).
-    last_k = F.floor((_month_index(pe) - _month_index(F.col("_anchor"))) / F.col("_step"))
+    # Only the steps that can fall inside the period and before the next plan
+    # row are generated: from one step before the period start (day-of-month
+    # slack) to the last step before min(period end, next start).  So a row
+    # is expanded to at most the period's months, however old it is.
+    a_idx = _month_index(F.col("_anchor"))
+    first_k = F.greatest(F.floor((_month_index(ps) - a_idx) / F.col("_step")) - 1, F.lit(0))
+    last_k = F.floor((_month_index(F.least(pe, F.coalesce(nxt, pe))) - a_idx) / F.col("_step"))
     payable = (is_monthly | is_annual) & (F.col("price") > 0)
     sched = (rows.where(payable)
              .withColumns({"_anchor": anchor, "_step": step})
              .where(F.col("_anchor") <= pe)
-             .withColumn("_k", F.explode(F.sequence(F.lit(0), last_k.cast("int"))))
+             .withColumns({"_k0": first_k.cast("int"), "_k1": last_k.cast("int")})
+             .where(F.col("_k1") >= F.col("_k0"))
+             .withColumn("_k", F.explode(F.sequence(F.col("_k0"), F.col("_k1"))))
              .withColumn("payment_date", F.add_months(F.col("_anchor"), F.col("_k") * F.col("_step")))
              .where((F.col("payment_date") >= ps) & (F.col("payment_date") <= pe)
                     & (nxt.isNull() | (F.col("payment_date") < nxt))))
