@@ -75,3 +75,12 @@ def test_empty_and_zero_inputs(spark):
     from tallyframe.operators.ledger import month_end_balances
     txns = spark.createDataFrame([(1, dt.date(2020, 5, 2), 10)], "c int, d date, amt long")
     assert month_end_balances(txns, "c", "d", "amt", F.lit(dt.date(2020, 3, 1))).count() == 0
+
+
+def test_scale_conf_sizes_partitions():
+    from tallyframe.session import scale_conf
+    c = scale_conf(10 << 40, 4000)                      # 10 TB on 4000 cores
+    assert int(c["spark.sql.shuffle.partitions"]) == 40960
+    assert c["spark.sql.files.maxPartitionBytes"] == "256m"
+    assert int(scale_conf(1 << 20, 8)["spark.sql.shuffle.partitions"]) == 16
+    assert int(scale_conf(1 << 50, 8000)["spark.sql.shuffle.partitions"]) == 200_000
