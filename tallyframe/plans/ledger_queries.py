@@ -352,18 +352,16 @@ def interest_compound(t):
     below e^6, so doubles keep about 13 significant digits.
     (The oracle is the day-by-day recursion itself.)"""
     g = 1 + RATE / 365
-    daily = _daily(t)
     d0 = ledger(t).agg(F.min("txn_date")).scalar()
     end = _end_date(t)
-    k = (daily.groupBy("customer_id", F.trunc("txn_date", "month").alias("month"))
-         .agg(F.sum(_dbl("daily_net") * F.pow(F.lit(g), -F.datediff("txn_date", d0))).alias("k_month"),
-              F.sum("daily_net").alias("net_month")))
+    # Discounted amounts summed per month alongside the nets: one month spine,
+    # no separate aggregate and join.
+    k = _dbl("net") * F.pow(F.lit(g), -F.datediff("txn_date", d0))
+    spine = month_end_balances(_signed(t), "customer_id", "txn_date", "net", end, extra_sums={"k_month": k})
     w = Window.partitionBy("customer_id").orderBy("month")
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    s = (_closing(t).select("customer_id", "month").join(k, on=["customer_id", "month"], how="left")
-         .withColumns({"s_end": F.sum(F.coalesce(F.col("k_month"), F.lit(0.0))).over(running),
-                       "e": F.least(F.last_day("month"), end)})
+    s = (spine.withColumns({"s_end": F.sum("k_month").over(running), "e": F.least(F.last_day("month"), end)})
          .withColumn("b_end", F.col("s_end") * F.pow(F.lit(g), F.datediff("e", d0) + 1)))
     i = s.withColumn("interest", F.col("b_end") - F.coalesce(F.lag("b_end").over(w), F.lit(0.0))
-                     - _dbl(F.coalesce(F.col("net_month"), F.lit(0))))
+                     - _dbl("month_net"))
     return i.groupBy("month").agg(F.round(F.sum("interest"), 2).alias("interest"))
