@@ -70,7 +70,7 @@ def month_spine(first_dates: DataFrame, keys, first_col: str, end_date: Column)
 
 
 def month_end_balances(txns: DataFrame, keys, date_col: str, net_col: str, end_date: Column,
-                       out_col: str = "closing_balance", extra_sums: Mapping[str, Column] | None = None) -> DataFrame:
+                       out_col: str = "closing_balance", extra_aggs: Mapping[str, Column] | None = None) -> DataFrame:
     """Closing balance of every account for every month from its first active
     month through the month of ``end_date`` (months without activity carry
     the previous balance).  ``txns`` may hold transactions or daily nets.
@@ -79,14 +79,14 @@ def month_end_balances(txns: DataFrame, keys, date_col: str, net_col: str, end_d
     account holding its month → net map (bounded by the months in the data),
     from which the month spine is generated in place.  The running sum over
     the spine then runs on data already partitioned by account.
-    ``extra_sums`` (name → per-row expression) adds further monthly sums as
-    columns of the spine (0 in months without rows).
+    ``extra_aggs`` (name → aggregate expression) adds further per-month
+    aggregates as columns of the spine (NULL in months without rows).
     """
     keys = _cols(keys)
-    extra = dict(extra_sums or {})
+    extra = dict(extra_aggs or {})
     zero = F.lit(0).cast(txns.schema[net_col].dataType)
     monthly = txns.groupBy(*keys, F.trunc(date_col, "month").alias("_m")).agg(
-        F.sum(net_col).alias("_net"), *[F.sum(e).alias(f"_x_{n}") for n, e in extra.items()])
+        F.sum(net_col).alias("_net"), *[e.alias(f"_x_{n}") for n, e in extra.items()])
     entry = F.struct(F.col("_net").alias("net"), *[F.col(f"_x_{n}").alias(n) for n in extra])
     per_key = monthly.groupBy(*keys).agg(
         F.map_from_entries(F.collect_list(F.struct("_m", entry))).alias("_nets"), F.min("_m").alias("_first"))
@@ -96,7 +96,7 @@ def month_end_balances(txns: DataFrame, keys, date_col: str, net_col: str, end_d
     w = Window.partitionBy(*keys).orderBy("month").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     got = F.try_element_at("_nets", F.col("month"))
     cols = {"month_net": F.coalesce(got["net"], zero)}
-    cols.update({n: F.coalesce(got[n], F.lit(0).cast(monthly.schema[f"_x_{n}"].dataType)) for n in extra})
+    cols.update({n: got[n] for n in extra})
     return (spine.withColumns(cols).drop("_nets")
             .withColumn(out_col, F.sum("month_net").over(w)))
 

@@ -129,13 +129,17 @@ def data_needed_option2(txns: DataFrame) -> DataFrame:
 
 
 def data_needed_option3(txns: DataFrame) -> DataFrame:
-    """Per month: Σ over customers of the highest balance reached in the month (≥ 0)."""
-    peaks = (running_balances(txns).groupBy("customer_id", F.trunc("txn_date", "month").alias("month"))
-             .agg(F.max("running_balance").alias("peak")))
-    w = Window.partitionBy("customer_id").orderBy("month")
-    c = closing_balances(txns).withColumn("opening", F.coalesce(F.lag("closing_balance").over(w), F.lit(0)))
-    top = F.greatest("opening", F.coalesce("peak", "opening"), F.lit(0))
-    return c.join(peaks, ["customer_id", "month"], "left").groupBy("month").agg(F.sum(top).alias("data_needed"))
+    """Per month: Σ over customers of the highest balance reached in the month (≥ 0):
+    the opening balance plus the largest running net within the month."""
+    daily = _daily(txns).withColumn("_m", F.trunc("txn_date", "month"))
+    within = Window.partitionBy("customer_id", "_m").orderBy("txn_date") \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    daily = daily.withColumn("_prefix", F.sum("daily_net").over(within))
+    spine = month_end_balances(daily, "customer_id", "txn_date", "daily_net", _end(txns),
+                               extra_aggs={"max_prefix": F.max("_prefix")})
+    opening = F.col("closing_balance") - F.col("month_net")
+    top = F.greatest(opening, F.coalesce(opening + F.col("max_prefix"), opening), F.lit(0))
+    return spine.groupBy("month").agg(F.sum(top).alias("data_needed"))
 
 
 def daily_interest_per_month(txns: DataFrame, rate: float = 0.06) -> DataFrame:

@@ -246,15 +246,20 @@ GROUP BY c.month
 """)
 def allocation_realtime(t):
     """Option 3: per month, the sum over customers of the highest balance the
-    account reaches in the month (opening balance or any day's balance)."""
-    peaks = (running_balance(_daily(t), "customer_id", "txn_date", "daily_net")
-             .groupBy("customer_id", F.trunc("txn_date", "month").alias("month"))
-             .agg(F.max("running_balance").alias("peak")))
-    w = Window.partitionBy("customer_id").orderBy("month")
-    c = _closing(t).withColumn("opening", F.coalesce(F.lag("closing_balance").over(w), F.lit(0)))
-    top = F.greatest(F.col("opening"), F.coalesce(F.col("peak"), F.col("opening")), F.lit(0))
-    return (c.join(peaks, on=["customer_id", "month"], how="left").groupBy("month")
-            .agg(_dbl(F.sum(top)).alias("allocation")))
+    account reaches in the month (opening balance or any day's balance).
+
+    The highest day balance of a month is the opening balance plus the
+    largest running net within the month (a window over at most 31 days of
+    one account); it rides along the month spine as a monthly maximum."""
+    daily = _daily(t).withColumn("_m", F.trunc("txn_date", "month"))
+    within = Window.partitionBy("customer_id", "_m").orderBy("txn_date") \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    daily = daily.withColumn("_prefix", F.sum("daily_net").over(within))
+    spine = month_end_balances(daily, "customer_id", "txn_date", "daily_net", _end_date(t),
+                               extra_aggs={"max_prefix": F.max("_prefix")})
+    opening = F.col("closing_balance") - F.col("month_net")
+    top = F.greatest(opening, F.coalesce(opening + F.col("max_prefix"), opening), F.lit(0))
+    return spine.groupBy("month").agg(_dbl(F.sum(top)).alias("allocation"))
 
 
 def _segments(t):
@@ -357,10 +362,12 @@ def interest_compound(t):
     # Discounted amounts summed per month alongside the nets: one month spine,
     # no separate aggregate and join.
     k = _dbl("net") * F.pow(F.lit(g), -F.datediff("txn_date", d0))
-    spine = month_end_balances(_signed(t), "customer_id", "txn_date", "net", end, extra_sums={"k_month": k})
+    spine = month_end_balances(_signed(t), "customer_id", "txn_date", "net", end,
+                               extra_aggs={"k_month": F.sum(k)})
     w = Window.partitionBy("customer_id").orderBy("month")
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    s = (spine.withColumns({"s_end": F.sum("k_month").over(running), "e": F.least(F.last_day("month"), end)})
+    s = (spine.withColumns({"s_end": F.sum(F.coalesce("k_month", F.lit(0.0))).over(running),
+                            "e": F.least(F.last_day("month"), end)})
          .withColumn("b_end", F.col("s_end") * F.pow(F.lit(g), F.datediff("e", d0) + 1)))
     i = s.withColumn("interest", F.col("b_end") - F.coalesce(F.lag("b_end").over(w), F.lit(0.0))
                      - _dbl("month_net"))
