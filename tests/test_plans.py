@@ -22,6 +22,10 @@ def test_plan_shape(spark, name):
     plan = _plan(df)
     for op in FORBIDDEN:
         assert op not in plan, f"{name}: {op}"
+    # No un-partitioned window (it would pull every row into one task).
+    # (its spec starts with an ordering or the frame, not a partition column)
+    assert not re.search(r"windowspecdefinition\((?:[^,()]+ (?:ASC|DESC)|specifiedwindowframe)", plan), \
+        f"{name}: global window"
     # Column pruning: no scan of the wide tables reads every column.
     for table, n_cols in (("lineitem", 11), ("orders", 6), ("events", 6)):
         for m in re.finditer(rf"FileScan parquet \[([^\]]*)\][^\n]*{table}\.parquet", plan):
