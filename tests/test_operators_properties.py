@@ -213,3 +213,39 @@ def test_rank_percentiles_by_digits_doubles(spark):
     exp = {r["g"]: r for r in rank_percentiles(df, "g", "v", ps).collect()}
     got = {r["g"]: r for r in rank_percentiles(df, "g", "v", ps, by_digits=True).collect()}
     assert got == exp
+
+
+@pytest.mark.parametrize("seed", [15])
+def test_trailing_30_day_balance_days_match_daily_spine(spark, seed):
+    rows = _ledger(seed)
+    df = spark.createDataFrame(rows, "c int, d date, amt long")
+    end_day = max(r[1] for r in rows)
+    end = F.lit(end_day)
+    seg = balance_segments(running_balance(daily_net(df, "c", "d", "amt"), "c", "d", "daily_net", "balance"),
+                           "c", "d", "balance", end)
+    month_end = F.least(F.last_day(F.col("month")), end)
+    anchors = F.sequence(F.trunc("seg_start", "month"), F.trunc(F.least(F.date_add("seg_end", 29), end), "month"),
+                         F.expr("INTERVAL 1 MONTH"))
+    w = window_weighted_sum(seg, "c", "balance", F.date_sub(month_end, 29), month_end, anchors)
+    got = {(r["c"], r["month"]): r["balance_days"] for r in w.collect()}
+    # brute force over every day
+    exp = defaultdict(int)
+    for c in {r[0] for r in rows}:
+        txns = defaultdict(int)
+        for r in rows:
+            if r[0] == c:
+                txns[r[1]] += r[2]
+        bal, day, b = {}, min(txns), 0
+        while day <= end_day:
+            b += txns.get(day, 0)
+            bal[day] = b
+            day += dt.timedelta(days=1)
+        m = min(txns).replace(day=1)
+        while m <= end_day:
+            nxt = (m.replace(day=28) + dt.timedelta(days=4)).replace(day=1)
+            me = min(nxt - dt.timedelta(days=1), end_day)
+            tot = sum(bal.get(me - dt.timedelta(days=i), 0) for i in range(30))
+            if any(me - dt.timedelta(days=i) in bal for i in range(30)):
+                exp[(c, m)] = tot
+            m = nxt
+    assert got == dict(exp)
