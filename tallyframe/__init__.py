@@ -6,6 +6,6 @@ filters and prune columns into the scans and whole-stage codegen keeps the
 work in the JVM.
 """
 
-from tallyframe.session import get_session, checkpoint_dir
+from tallyframe.session import checkpoint_dir, get_session, scale_conf
 
-__all__ = ["get_session", "checkpoint_dir"]
+__all__ = ["get_session", "checkpoint_dir", "scale_conf"]

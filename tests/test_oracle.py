@@ -12,7 +12,7 @@ import __spark_entry__ as E  # noqa: E402
 from oracle_check import rows_of  # noqa: E402
 from tallyframe.sources.tables import TABLE_NAMES  # noqa: E402
 
-SF = "/root/testdata/sf0.001"
+SF = os.environ.get("TALLYFRAME_ORACLE_SF", "/root/testdata/sf0.001")
 ORACLES = E.oracle_sql()
 
 
