@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyframe.functions.text import counted_label
+from tallyframe.session import checkpoint_dir
 
 
 def _cols(x) -> list[str]:
@@ -157,6 +158,11 @@ def digit_ranks(hist: DataFrame, group_cols, value_col: str, count_col: str) ->
     digits.  The count of smaller values is the sum of four offsets, one per
     digit level, each a running sum over at most 65,536 sibling digits:
     every window is bounded no matter how many distinct values a group has.
+
+    The histogram feeds five branches (three digit levels, the group sizes,
+    the final join), so it is checkpointed once to the shared checkpoint
+    folder (an eager job) and every branch reads that instead of recomputing
+    its lineage.
     """
     group_cols = _cols(group_cols)
     dtype = hist.schema[value_col].dataType.simpleString()
@@ -165,7 +171,8 @@ def digit_ranks(hist: DataFrame, group_cols, value_col: str, count_col: str) ->
     flipped = key.bitwiseXOR(F.lit(-(1 << 63)))
     digits = {f"_d{i}": F.shiftrightunsigned(flipped, _DIGIT_BITS * (_LEVELS - 1 - i)).bitwiseAND(0xFFFF)
               for i in range(_LEVELS)}
-    h = hist.withColumns(digits)
+    checkpoint_dir(hist.sparkSession)
+    h = hist.withColumns(digits).checkpoint(eager=True)
     d = [f"_d{i}" for i in range(_LEVELS)]
     offsets = h
     for level in range(_LEVELS):
