@@ -49,15 +49,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     used as is.  Only when it is unset (local runs, tests) a fresh scratch
     folder is created for this process.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None) or \
-        spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # e.g. a remote (Connect) session: the server owns the setting
+        return configured
+    configured = configured or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="tallyframe-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         try:
             spark.conf.set("spark.checkpoint.dir", configured)
         except Exception:  # some deployments refuse runtime changes of core settings
             pass
-    spark.sparkContext.setCheckpointDir(configured)
+    sc.setCheckpointDir(configured)
     return configured
 
 
