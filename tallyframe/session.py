@@ -61,7 +61,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
             spark.conf.set("spark.checkpoint.dir", configured)
         except Exception:  # some deployments refuse runtime changes of core settings
             pass
-    sc.setCheckpointDir(configured)
+    try:
+        already = sc._jsc.sc().getCheckpointDir().isDefined()
+    except Exception:
+        already = False
+    if not already:  # each call would otherwise open a new sub-folder
+        sc.setCheckpointDir(configured)
     return configured
 
 
