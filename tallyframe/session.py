@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 # Settings every query in this package relies on.  Adaptive execution
@@ -30,14 +31,15 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+    submitted = SparkConf()  # what spark-submit and spark-defaults.conf set
     for key, value in _BASE_CONF.items():
-        builder = builder.config(key, value)
+        if not submitted.contains(key):
+            builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
     return spark
 
@@ -46,8 +48,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the setting names a folder every executor can reach and is
-    used as is.  Only when it is unset (local runs, tests) a fresh scratch
-    folder is created for this process.
+    used as is.  Only a local master may leave it unset: a fresh scratch
+    folder is then created for this process.  Any other master without the
+    setting raises, since a node's own disk is lost with the node.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -56,6 +59,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return configured
     configured = configured or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tallyframe-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         try:
             spark.conf.set("spark.checkpoint.dir", configured)
@@ -70,8 +75,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
-def scale_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 << 20,
-               max_shuffle_partitions: int = 200_000) -> dict[str, str]:
+def scale_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Settings sized for a cluster run over ``input_bytes`` of parquet.
 
     - scan splits and post-shuffle partitions target ``partition_bytes`` so a
@@ -85,7 +89,6 @@ def scale_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 <<
     Pass the result as ``extra`` to ``get_session`` or as spark-submit ``--conf``.
     """
     parts = max(total_cores * 2, -(-input_bytes // partition_bytes))
-    parts = min(parts, max_shuffle_partitions)
     mb = f"{partition_bytes >> 20}m"
     return {
         "spark.sql.shuffle.partitions": str(parts),
