@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyframe.llm.exact_dedup import verdicts as exact_verdicts
+from tallyframe.llm.mixing import mixed
+from tallyframe.llm.packing import packed_pieces
 from tallyframe.llm.rows import table
 
 
@@ -15,6 +17,17 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_verdicts(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of each document the mix takes."""
+    out = mixed(table(spark, sf_dir, "documents"))
+    return out.select("id", "size", "source_size", "target", "taken").withColumnRenamed("id", "doc_id")
+
+
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its place in a packed sequence."""
+    return packed_pieces(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 _SQL = {
     "op1_exact_dedup": r"""
 WITH d AS (
@@ -31,7 +44,7 @@ FROM d
 """,
 }
 
-_QUERIES = [op1_exact_dedup]
+_QUERIES = [op1_exact_dedup, op2_mix_sources, op8_best_fit_packing]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
