@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyframe.llm.exact_dedup import verdicts as exact_verdicts
 from tallyframe.llm.mixing import mixed
 from tallyframe.llm.packing import packed_pieces
 from tallyframe.llm.rows import table
+from tallyframe.llm.simhash import near_duplicates
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +25,13 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("id", "size", "source_size", "target", "taken").withColumnRenamed("id", "doc_id")
 
 
+def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    out = near_duplicates(table(spark, sf_dir, "documents"))
+    digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
+    return out.select(F.col("id").alias("doc_id"), digits.alias("fingerprint"), "component_id")
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document with its place in a packed sequence."""
     return packed_pieces(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
@@ -44,7 +53,7 @@ FROM d
 """,
 }
 
-_QUERIES = [op1_exact_dedup, op2_mix_sources, op8_best_fit_packing]
+_QUERIES = [op1_exact_dedup, op2_mix_sources, op5_simhash_near_dedup, op8_best_fit_packing]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
