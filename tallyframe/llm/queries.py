@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyframe.llm.chat_format import format_conversations, masked_texts, read_back, unescape
 from tallyframe.llm.exact_dedup import verdicts as exact_verdicts
 from tallyframe.llm.mixing import mixed
 from tallyframe.llm.packing import packed_pieces
+from tallyframe.llm.quality_rules import BASE, quality_verdicts
 from tallyframe.llm.rows import table
 from tallyframe.llm.simhash import near_duplicates
 
@@ -25,6 +30,32 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("id", "size", "source_size", "target", "taken").withColumnRenamed("id", "doc_id")
 
 
+def _chat_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What the formatted conversations hold, read back from them."""
+    names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+    for batch in batches:
+        rows = []
+        for i in range(batch.num_rows):
+            formatted, ends, learnt = (batch.column(c)[i].as_py() for c in ("formatted", "ends", "loss_mask"))
+            turns = read_back(formatted)
+            loss = "".join(map(unescape, masked_texts(formatted, np.array(ends, np.int64), np.array(learnt, bool))))
+            digests = [hashlib.sha256(x.encode()).hexdigest() for x in ("".join(f"{r}\n{t}\n" for r, t in turns), loss)]
+            rows.append((len(turns), digests[0], len(loss), digests[1], len(formatted)))
+        columns = [pa.array(x) for x in zip(*rows, strict=True)] if rows else []
+        if rows:
+            yield pa.RecordBatch.from_arrays([batch.column("conv_id"), *columns], names)
+
+
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of all formatted conversations, and of one that holds control strings."""
+    conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    probe = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], conversations.schema)
+    formatted = format_conversations(conversations.unionByName(probe)).select("conv_id", "formatted", "ends", "loss_mask")
+    schema = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
+    return formatted.mapInArrow(_chat_digests, schema)
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     out = near_duplicates(table(spark, sf_dir, "documents"))
@@ -32,6 +63,12 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), digits.alias("fingerprint"), "component_id")
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule figures and verdict of every document."""
+    out = quality_verdicts(table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), *BASE, "base_failed", "kept", "p_good")
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document with its place in a packed sequence."""
     return packed_pieces(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
@@ -53,7 +90,9 @@ FROM d
 """,
 }
 
-_QUERIES = [op1_exact_dedup, op2_mix_sources, op5_simhash_near_dedup, op8_best_fit_packing]
+_QUERIES = [
+    op1_exact_dedup, op2_mix_sources, op3_chat_formatting, op5_simhash_near_dedup, op7_quality_rules, op8_best_fit_packing,
+]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
