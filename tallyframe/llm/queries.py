@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.llm.chat_format import format_conversations, masked_texts, read_back, unescape
 from tallyframe.llm.exact_dedup import verdicts as exact_verdicts
+from tallyframe.llm.html_extract import extract
 from tallyframe.llm.mixing import mixed
 from tallyframe.llm.packing import packed_pieces
 from tallyframe.llm.quality_rules import BASE, quality_verdicts
@@ -63,6 +64,11 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), digits.alias("fingerprint"), "component_id")
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return extract(table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule figures and verdict of every document."""
     out = quality_verdicts(table(spark, sf_dir, "documents"))
@@ -91,7 +97,8 @@ FROM d
 }
 
 _QUERIES = [
-    op1_exact_dedup, op2_mix_sources, op3_chat_formatting, op5_simhash_near_dedup, op7_quality_rules, op8_best_fit_packing,
+    op1_exact_dedup, op2_mix_sources, op3_chat_formatting, op5_simhash_near_dedup, op6_html_extraction, op7_quality_rules,
+    op8_best_fit_packing,
 ]
 
 
