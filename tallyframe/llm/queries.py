@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tallyframe.llm.chat_format import format_conversations, masked_texts, read_back, unescape
 from tallyframe.llm.exact_dedup import verdicts as exact_verdicts
 from tallyframe.llm.html_extract import extract
+from tallyframe.llm.licenses import license_scan
 from tallyframe.llm.mixing import mixed
 from tallyframe.llm.packing import packed_pieces
 from tallyframe.llm.quality_rules import BASE, quality_verdicts
@@ -57,6 +58,11 @@ def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return formatted.mapInArrow(_chat_digests, schema)
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence families confirmed in every document."""
+    return license_scan(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     out = near_duplicates(table(spark, sf_dir, "documents"))
@@ -97,8 +103,8 @@ FROM d
 }
 
 _QUERIES = [
-    op1_exact_dedup, op2_mix_sources, op3_chat_formatting, op5_simhash_near_dedup, op6_html_extraction, op7_quality_rules,
-    op8_best_fit_packing,
+    op1_exact_dedup, op2_mix_sources, op3_chat_formatting, op4_license_scan, op5_simhash_near_dedup, op6_html_extraction,
+    op7_quality_rules, op8_best_fit_packing,
 ]
 
 
