@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tallyframe.llm.chat_format import format_conversations, masked_texts, read_back, unescape
 from tallyframe.llm.exact_dedup import verdicts as exact_verdicts
 from tallyframe.llm.html_extract import extract
+from tallyframe.llm.kneser_ney import quality_scores
 from tallyframe.llm.licenses import license_scan
 from tallyframe.llm.mixing import mixed
 from tallyframe.llm.packing import packed_pieces
@@ -86,6 +87,12 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_pieces(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity of every document under the model of trusted text, and whether it is kept."""
+    out = quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select(F.col("id").alias("doc_id"), "lang", "size", "bits", "perplexity", "threshold", "kept")
+
+
 _SQL = {
     "op1_exact_dedup": r"""
 WITH d AS (
@@ -104,7 +111,7 @@ FROM d
 
 _QUERIES = [
     op1_exact_dedup, op2_mix_sources, op3_chat_formatting, op4_license_scan, op5_simhash_near_dedup, op6_html_extraction,
-    op7_quality_rules, op8_best_fit_packing,
+    op7_quality_rules, op8_best_fit_packing, op9_quality_classifier,
 ]
 
 
