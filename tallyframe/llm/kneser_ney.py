@@ -1,8 +1,8 @@
 """Quality classifier: perplexity under an interpolated modified Kneser-Ney n-gram model of trusted text.
 
 The model is over bytes, order ``ORDER``, so it needs no tokeniser and knows every language of its training
-text.  It is trained on the documents that are labelled good and not toxic, all of them but a fifth, whose
-perplexities give the thresholds.
+text.  It is trained on one half of the documents that are labelled good and not toxic; the perplexities of the
+other half give the thresholds.
 
 Counts are sharded by n-gram.  Every chunk of documents (:mod:`.chunks`) sends its distinct n-grams with their
 counts in trusted text; summed, these are the n-grams of the whole corpus with their training counts (zero for
@@ -13,8 +13,9 @@ order up, joins on context and suffix give each n-gram its probability,
 
 and the result goes back to the chunks that asked.  A document's score is the mean number of bits a byte,
 log2 of its perplexity.  A document is rejected above the threshold of its language and length class:
-the 0.995 quantile of the trusted documents held out (the conformal rank, so a class needs 199 of them; smaller
-classes take the larger of their own maximum and the language's quantile, or that of all languages).
+the 0.995 quantile of the trusted documents held out.  The rank is the conformal one, so a class needs 199 of
+them; from 20 on a class takes its maximum and ``SLACK``, below that the larger of this and the quantile of
+its language, or of all languages.
 """
 
 from __future__ import annotations
@@ -32,7 +33,9 @@ from tallyframe.llm.rows import checkpointed, col, packed, text_of, unpacked
 ORDER = 5
 QUANTILE = 0.995
 #: One in so many trusted documents is held out for the thresholds.
-HOLD = 5
+HOLD = 2
+#: Held-out documents from which a class stands on its own, and what it adds to its maximum (bits a byte).
+ENOUGH, SLACK = 20, 0.1
 #: Bytes whose n-grams are unpacked at a time.
 SLICE = 1 << 21
 
@@ -192,9 +195,9 @@ def _arrow(field) -> pa.Schema:
 
 
 def thresholds(held: DataFrame, quantile: float = QUANTILE) -> DataFrame:
-    """Scores of trusted documents held out (lang, size_class, bits) -> (lang, size_class, own, most, of_lang, of_all).
+    """Scores of trusted documents held out (lang, size_class, bits) -> (lang, size_class, own, most, held, of_lang, of_all).
 
-    ``own`` is null in a class with too few documents for its rank.  Scores are counted at a thousandth of a bit first,
+    ``own`` is null in a class with too few documents for its rank, ``most`` is the largest score and ``held`` their number.  Scores are counted at a thousandth of a bit first,
     so no group has more rows than distinct scores.
     """
     counted = held.groupBy("lang", "size_class", F.ceil(F.col("bits") * 1000).alias("milli")).agg(F.count(F.lit(1)).alias("n"))
@@ -205,11 +208,12 @@ def thresholds(held: DataFrame, quantile: float = QUANTILE) -> DataFrame:
         running = per.withColumn("upto", F.sum("n").over(w.orderBy("milli"))).withColumn("all", F.sum("n").over(w))
         rank = F.ceil((F.col("all") + 1) * F.lit(quantile))
         return running.groupBy(*keys).agg(
-            (F.min(F.when(F.col("upto") >= rank, F.col("milli"))) / 1000).alias(name), (F.max("milli") / 1000).alias("most"))
+            (F.min(F.when(F.col("upto") >= rank, F.col("milli"))) / 1000).alias(name), (F.max("milli") / 1000).alias("most"),
+            F.max("all").alias("held"))
 
     own = ranked("own", "lang", "size_class")
-    of_lang = ranked("of_lang", "lang").drop("most")
-    of_all = F.broadcast(ranked("of_all").drop("most").withColumn("one", F.lit(1)))  # a single row
+    of_lang = ranked("of_lang", "lang").drop("most", "held")
+    of_all = F.broadcast(ranked("of_all").drop("most", "held").withColumn("one", F.lit(1)))  # a single row
     return own.join(of_lang, "lang").withColumn("one", F.lit(1)).join(of_all, "one").drop("one")
 
 
@@ -226,12 +230,13 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     scored = scored.withColumn("size_class", F.floor(F.log2(F.col("size") + 1)).cast("int"))
     held = scored.filter(_held(F.col("id")) & (F.col("size") > 0)).join(trusted, "id", "left_semi")
     limit = checkpointed(thresholds(held.select("lang", "size_class", "bits"), quantile))
-    by_class = limit.select("lang", "size_class", "own", "most")
+    by_class = limit.select("lang", "size_class", "own", "most", "held")
     by_lang = limit.groupBy("lang").agg(F.first("of_lang").alias("of_lang"))
     everywhere = F.broadcast(limit.agg(F.first("of_all").alias("of_all"), F.max("most").alias("top")).withColumn("one", F.lit(1)))
     known = scored.join(by_class, ["lang", "size_class"], "left").join(by_lang, "lang", "left").withColumn("one", F.lit(1)).join(everywhere, "one")
     pooled = F.coalesce("of_lang", "of_all", "top")
-    bound = F.coalesce("own", F.greatest(pooled, "most"))
+    most = F.col("most") + SLACK
+    bound = F.coalesce("own", F.when(F.col("held") >= ENOUGH, most).otherwise(F.greatest(pooled, most)))
     kept = (F.col("size") > 0) & F.coalesce(F.col("bits") <= bound, F.lit(True))
     return known.select("id", "th", "lang", "size", "bits", F.pow(F.lit(2.0), "bits").alias("perplexity"),
                         F.pow(F.lit(2.0), bound).alias("threshold"), kept.alias("kept"))

@@ -308,7 +308,10 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     kind = docs.select(col(id_col)).schema[0].dataType.simpleString()
     rows = docs.select(col(id_col).alias("id"), text_of(text_col).alias("t"))
-    taken = rows.select(F.xxhash64("id").alias("h"), "t").orderBy("h").limit(sample).collect()  # the fitting sample
+    # the fitting sample: the least hashes first, so that only the texts of the sample travel
+    hashed = rows.withColumn("h", F.xxhash64("id"))
+    top = hashed.select("h").orderBy("h").limit(sample).agg(F.max("h")).first()[0]
+    taken = hashed.filter(F.col("h") <= top).limit(sample).collect() if top is not None else []
     model = train([line for r in taken for line in r["t"].split("\n")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
