@@ -20,7 +20,6 @@ from __future__ import annotations
 import base64
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -77,9 +76,17 @@ def read_back(formatted: str) -> list[tuple[str, str]]:
     return turns
 
 
-@lru_cache(maxsize=2)
+_ENCODERS: dict = {}
+
+
 def encoder(path: str):
-    """(encoding with the markers as special tokens, byte length of each id); made once a worker."""
+    """(encoding with the markers as special tokens, byte length of each id); made once a task."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = _read_encoder(path)
+    return _ENCODERS[path]
+
+
+def _read_encoder(path: str):
     import tiktoken
 
     with open(path, "rb") as f:
