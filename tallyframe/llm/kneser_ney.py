@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tallyframe.llm.chunks import CHUNK_BYTES, chunk_count, chunk_of, fragments, opened
 from tallyframe.llm.rows import checkpointed, col, packed, text_of, unpacked
@@ -79,7 +80,7 @@ def _summed(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarr
 
 
 def _count(order: int):
-    def run(key, docs: pa.Table, trusted: pa.Table) -> pa.Table:
+    def run(key: tuple[pa.Scalar, ...], docs: pa.Table, trusted: pa.Table) -> pa.Table:
         """Distinct n-grams of a chunk with their counts in its trusted training documents."""
         known = {str(x) for x in trusted.column("id").to_pylist()}
         codes, counts = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
@@ -104,7 +105,7 @@ def _count(order: int):
 
 
 def _score(order: int, kind: pa.DataType):
-    def run(key, docs: pa.Table, answers: pa.Table) -> pa.Table:
+    def run(key: tuple[pa.Scalar, ...], docs: pa.Table, answers: pa.Table) -> pa.Table:
         """Bits of each document of a chunk."""
         gram = answers.column("gram").to_numpy()
         by = np.argsort(gram)
@@ -182,18 +183,11 @@ def perplexities(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", te
     table = probabilities(asked.groupBy("gram").agg(F.sum("n").alias("c")), order)
     answers = asked.select("chunk", "gram").join(table, "gram").select("chunk", "gram", (-F.log2("p")).cast("float").alias("bits"))
     field = docs.select(col(id_col).alias("id")).schema[0]
-    kind = pa.Table.from_pydict({"id": []}, schema=_arrow(field)).schema[0].type
+    kind = to_arrow_type(field.dataType)
     return texts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
         _score(order, kind), f"id {field.dataType.simpleString()}, th long, lang string, size long, bits double")
 
 
-def _arrow(field) -> pa.Schema:
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-
-    return to_arrow_schema(StructType([field]))
-
-
 def thresholds(held: DataFrame, quantile: float = QUANTILE) -> DataFrame:
     """Scores of trusted documents held out (lang, size_class, bits) -> (lang, size_class, own, most, held, of_lang, of_all).
 

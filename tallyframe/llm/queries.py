@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyframe.llm.attention_lm import lm_scores
 from tallyframe.llm.chat_format import format_conversations, masked_texts, read_back, unescape
 from tallyframe.llm.exact_dedup import verdicts as exact_verdicts
 from tallyframe.llm.html_extract import extract
@@ -93,6 +94,11 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "lang", "size", "bits", "perplexity", "threshold", "kept")
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base score and attention-model score of every document."""
+    return lm_scores(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 _SQL = {
     "op1_exact_dedup": r"""
 WITH d AS (
@@ -111,7 +117,7 @@ FROM d
 
 _QUERIES = [
     op1_exact_dedup, op2_mix_sources, op3_chat_formatting, op4_license_scan, op5_simhash_near_dedup, op6_html_extraction,
-    op7_quality_rules, op8_best_fit_packing, op9_quality_classifier,
+    op7_quality_rules, op8_best_fit_packing, op9_quality_classifier, op10_lm_scoring,
 ]
 
 
