@@ -18,12 +18,33 @@ from pyspark.sql import functions as F
 from tallyframe.llm.rows import col, text_of
 
 CHUNK_BYTES = 16 << 20
+#: Chunks are numbered in this many bits; a corpus that would need more gets larger chunks.
+CHUNK_BITS, COUNT_BITS = 22, 40
 
 
 def chunk_count(docs: DataFrame, text_col: str, chunk_bytes: int = CHUNK_BYTES) -> int:
     """How many chunks the corpus needs; only the total reaches the driver."""
     total = docs.agg(F.sum(F.octet_length(text_of(text_col)))).first()[0] or 0
-    return max(1, -(-int(total) // chunk_bytes))
+    return chunks_for(int(total), chunk_bytes)
+
+
+def chunks_for(total_bytes: int, chunk_bytes: int = CHUNK_BYTES) -> int:
+    size = max(chunk_bytes, -(-total_bytes // (1 << CHUNK_BITS)), 1)
+    return max(1, -(-total_bytes // size))
+
+
+def tagged(chunk: int, counts: np.ndarray) -> np.ndarray:
+    """A chunk's number and a count in one long.  Readers of a table of keys that want either then read the same
+    columns, so that Spark makes the table once for all of them (it reuses an exchange that is alike)."""
+    return (np.int64(chunk) << COUNT_BITS) | counts
+
+
+def tag_chunk(tag: Column) -> Column:
+    return F.shiftright(tag, COUNT_BITS)
+
+
+def tag_count(tag: Column) -> Column:
+    return tag.bitwiseAND(F.lit((1 << COUNT_BITS) - 1))
 
 
 def chunk_of(id_: Column, chunks: int) -> Column:

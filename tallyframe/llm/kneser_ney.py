@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tallyframe.llm.chunks import CHUNK_BYTES, chunk_count, chunk_of, fragments, opened
+from tallyframe.llm.chunks import CHUNK_BYTES, chunk_count, chunk_of, fragments, opened, tag_chunk, tag_count, tagged
 from tallyframe.llm.rows import checkpointed, col, packed, text_of, unpacked
 
 ORDER = 5
@@ -98,8 +98,7 @@ def _count(order: int):
             if len(codes) > 64:
                 codes, counts = ([x] for x in _summed(codes, counts))
         u, k = _summed(codes, counts)
-        chunk = key[0].as_py()
-        return pa.table({"chunk": pa.array(np.full(len(u), chunk, np.int64)), "gram": pa.array(u), "n": pa.array(k)})
+        return pa.table({"gram": pa.array(u), "tag": pa.array(tagged(key[0].as_py(), k))})
 
     return run
 
@@ -179,9 +178,9 @@ def perplexities(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", te
     texts = fragments(docs, chunks, id_col, text_col, lang=lang)
     train = trusted.filter(~_held(F.col("id"))).select(chunk_of(F.col("id"), chunks).alias("chunk"), F.col("id").cast("string").alias("id"))
     asked = texts.groupBy("chunk").cogroup(train.groupBy("chunk")).applyInArrow(
-        _count(order), "chunk long, gram long, n long").repartition("gram")
-    table = probabilities(asked.groupBy("gram").agg(F.sum("n").alias("c")), order)
-    answers = asked.select("chunk", "gram").join(table, "gram").select("chunk", "gram", (-F.log2("p")).cast("float").alias("bits"))
+        _count(order), "gram long not null, tag long not null").repartition("gram")
+    table = probabilities(asked.groupBy("gram").agg(F.sum(tag_count(F.col("tag"))).alias("c")), order)
+    answers = asked.join(table, "gram").select(tag_chunk(F.col("tag")).alias("chunk"), "gram", (-F.log2("p")).cast("float").alias("bits"))
     field = docs.select(col(id_col).alias("id")).schema[0]
     kind = to_arrow_type(field.dataType)
     return texts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
