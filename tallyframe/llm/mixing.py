@@ -72,6 +72,12 @@ def fit_counts(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarr
     rest = budget - int((lengths * take).sum())
     # the table below fits a window of some longest documents: give back, or take, whole documents until it covers the rest
     window = int(lengths[-1]) * 8
+    for i in range(len(lengths)):  # short ones first, which fit best
+        less = min(int(take[i]), 4, max(window // 2 - rest, 0) // int(lengths[i]))
+        if rest >= window // 2:
+            break
+        take[i] -= less
+        rest += less * int(lengths[i])
     for i in range(len(lengths) - 1, -1, -1):
         words = int(lengths[i])
         more = min(int(counts[i] - take[i]), max(rest - window, 0) // words)
