@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.llm.rows import checkpointed
+from tallyframe.llm.rows import written
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -16,7 +16,7 @@ def components(edges: DataFrame) -> DataFrame:
     compare fresh hashes, which shrinks even a long chain by a constant factor on average.  The edge
     table and the choices stay distributed; the driver only asks whether edges are left.
     """
-    left = checkpointed(_distinct(edges.select("a", "b")))
+    left = written(_distinct(edges.select("a", "b")))
     choices: list[DataFrame] = []
     while not left.isEmpty():
         turn = len(choices)
@@ -24,11 +24,11 @@ def components(edges: DataFrame) -> DataFrame:
         both = left.select(F.col("a").alias("u"), F.col("b").alias("v")).union(left.select("b", "a"))
         least = both.groupBy("u").agg(F.min(F.struct(order(F.col("v")).alias("k"), F.col("v"))).alias("m"))
         own = F.struct(order(F.col("u")).alias("k"), F.col("u").alias("v"))
-        choice = checkpointed(least.select("u", F.least(own, F.col("m")).getField("v").alias("to")))
+        choice = written(least.select("u", F.least(own, F.col("m")).getField("v").alias("to")))
         choices.append(choice)
         from_a, from_b = (choice.select(F.col("u").alias(x), F.col("to").alias(f"to_{x}")) for x in "ab")
         moved = left.join(from_a, "a").join(from_b, "b").select(F.col("to_a").alias("a"), F.col("to_b").alias("b"))
-        left = checkpointed(_distinct(moved))
+        left = written(_distinct(moved))
     if not choices:
         return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).filter(F.lit(False))
     roots = choices[0].select(F.col("u").alias("node"), F.col("to").alias("root"))

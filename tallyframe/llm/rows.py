@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,5 +45,30 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder, gone when the application ends.
+
+    For loops: a checkpoint keeps the size estimate of the plan behind it, and estimates of repeated joins multiply,
+    while a table is as large as its files.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(conf).deleteOnExit(where)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def beside(df: DataFrame, row: DataFrame, by: str) -> DataFrame:
+    """Every row of ``df`` with the single row of ``row`` (an aggregate without grouping), which is broadcast.
+
+    The key is zero on both sides but not a literal, so the join stays a hash join and not a product.
+    """
+    zero = lambda *of: F.xxhash64(*of).bitwiseAND(F.lit(0).cast("long"))
+    single = F.broadcast(row.withColumn("one", zero(*row.columns)))
+    return df.withColumn("one", zero(by)).join(single, "one").drop("one")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
