@@ -7,7 +7,7 @@ from tallyframe.operators.aggs import (
 from tallyframe.operators.append import accepted, rejected, validate_candidates, validated_append
 from tallyframe.operators.billing import payment_schedule
 from tallyframe.operators.joins import (
-    attach_group_count, explode_array, explode_membership, flag_matched, full_outer_merge, member_join,
+    explode_array, explode_membership, full_outer_merge, member_join,
 )
 from tallyframe.operators.ledger import (
     balance_segments, daily_net, month_end_balances, running_balance, signed_amount, window_weighted_sum,
@@ -21,7 +21,7 @@ __all__ = [
     "arg_max_ties", "counted_items", "counted_items_by_kind", "digit_ranks", "mean_half_up", "ordered_list",
     "percent_half_up", "rank_percentiles", "rank_percentiles_from_histogram", "rate", "share_of_total",
     "top_value", "accepted", "rejected", "validate_candidates", "validated_append", "payment_schedule",
-    "attach_group_count", "explode_array", "explode_membership", "flag_matched", "full_outer_merge",
+    "explode_array", "explode_membership", "full_outer_merge",
     "member_join", "balance_segments", "daily_net", "month_end_balances", "running_balance", "signed_amount",
     "window_weighted_sum", "as_of_state", "change_gaps", "first_to_first_days", "neighbours_in_sequence",
     "previous_in_sequence", "sequence_number", "state_changes", "transitions",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 from decimal import Decimal
 
@@ -126,6 +127,12 @@ def _ordered_key(col: Column, dtype: str) -> Column:
         return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast(dtype), col)
     if dtype in ("double", "float"):
         return double_key(col.cast("double"))
+    if m := re.fullmatch(r"decimal\((\d+),(\d+)\)", dtype):
+        if int(m[1]) > 18:
+            raise ValueError(f"digit ranks need a decimal of at most 18 digits, not {dtype}")
+        return (col * F.lit(Decimal(10 ** int(m[2])))).cast("long")  # the unscaled value
+    if dtype not in ("tinyint", "smallint", "int", "bigint"):
+        raise ValueError(f"digit ranks need a number, a date or a timestamp, not {dtype}")
     return col.cast("long")
 
 
@@ -242,9 +249,13 @@ def _percentiles_from_ranks(cum: DataFrame, group_cols, value_col: str,
 
 
 def _int_div(a: Column, b: Column) -> Column:
-    """Exact integer floor division of non-negative longs."""
-    a, b = a.cast("long"), b.cast("long")
-    return ((a - F.pmod(a, b)) / b).cast("long")
+    """Exact integer division of non-negative longs or whole decimals; the quotient is a long."""
+    return F.call_function("div", a, b)
+
+
+def _whole(c: Column) -> Column:
+    """Room for totals and their multiples far beyond a long; a mean itself has to fit one, in units of its last digit."""
+    return c.cast("decimal(30,0)")
 
 
 def percent_half_up(numerator: Column, denominator: Column, digits: int = 1) -> Column:
@@ -253,7 +264,7 @@ def percent_half_up(numerator: Column, denominator: Column, digits: int = 1) ->
     Both arguments are non-negative counts."""
     scale = 10 ** digits
     d = denominator.cast("long")
-    value = _int_div(numerator.cast("long") * (200 * scale) + d, d * 2) / F.lit(float(scale))
+    value = _int_div(_whole(numerator) * (200 * scale) + d, _whole(d) * 2) / F.lit(float(scale))
     return F.when(d > 0, value)  # NULL for an empty input, as SQL division by zero
 
 
@@ -262,5 +273,5 @@ def mean_half_up(total: Column, count: Column, digits: int = 2) -> Column:
     quotient of two integers (sign handled separately)."""
     scale = 10 ** digits
     c = count.cast("long")
-    mag = _int_div(F.abs(total).cast("long") * (2 * scale) + c, c * 2)
-    return F.when(c > 0, F.signum(total) * mag / F.lit(float(scale)))
+    mag = _int_div(F.abs(_whole(total)) * (2 * scale) + c, _whole(c) * 2)
+    return F.when(c > 0, F.signum(total.cast("double")) * mag / F.lit(float(scale)))

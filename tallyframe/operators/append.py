@@ -17,15 +17,16 @@ def validate_candidates(candidates: DataFrame, parents: DataFrame, key, eligible
     """Candidates with a ``reject_reason`` column (NULL = accepted).
 
     ``parents`` is reduced to one row per key (eligible if any parent row is,
-    carried columns taken from an eligible row), so a duplicated parent key
-    cannot duplicate a candidate.  ``checks`` maps a reason to a condition
+    carried columns taken from an eligible row, of several the one with the
+    greatest carried values), so a duplicated parent key cannot duplicate a
+    candidate.  ``checks`` maps a reason to a condition
     every accepted row must meet (e.g. a rating range).
     """
     keys = _cols(key)
     carry_cols = _cols(carry_cols)
-    per_key = parents.groupBy(*keys).agg(
-        F.max(F.coalesce(eligible, F.lit(False))).alias("_eligible"),
-        *[F.max_by(F.col(c), F.coalesce(eligible, F.lit(False))).alias(c) for c in carry_cols])
+    best = F.struct(F.coalesce(eligible, F.lit(False)).alias("_eligible"), *[F.col(c) for c in carry_cols])
+    per_key = parents.groupBy(*keys).agg(F.max(best).alias("_best")).select(
+        *keys, *[F.col("_best")[c].alias(c) for c in ("_eligible", *carry_cols)])
     joined = candidates.join(per_key, on=keys, how="left")
     reason = F.when(F.col("_eligible").isNull(), F.lit("unknown parent")) \
         .when(~F.col("_eligible"), F.lit("parent not eligible"))

@@ -45,14 +45,14 @@ def payment_schedule(subs: DataFrame, plans: DataFrame, period_start, period_end
                      tie_cols: Sequence[str] = ()) -> DataFrame:
     """Payments (key, plan_id, plan_name, payment_date, amount, payment_order).
 
-    ``plans`` has (plan_id, plan_name, price) and is a fixed small dimension
-    (broadcast).  Neighbouring plan rows come from the split-window lag/lead,
+    ``plans`` has (plan_id, plan_name, price) and is a small dimension; Spark
+    broadcasts it if its measured size allows.  Neighbouring plan rows come from the split-window lag/lead,
     so a customer with very many plan rows is not one task.
     """
     ps, pe = F.lit(period_start).cast("date"), F.lit(period_end).cast("date")
     order = [start_col, *tie_cols]
     rows = subs.select(key, plan_col, F.col(start_col).cast("date").alias(start_col), *tie_cols)
-    split = F.trunc(F.col(start_col), "month")
+    split = F.col(start_col)
     rows = neighbours_in_sequence(rows, key, order, [plan_col, start_col], [start_col],
                                   prev_prefix="_p_", next_prefix="_n_", split=split)
     # The payment numbering below reads its input twice (slice rows and slice
@@ -61,8 +61,8 @@ def payment_schedule(subs: DataFrame, plans: DataFrame, period_start, period_end
     # once per branch.
     checkpoint_dir(subs.sparkSession)
     rows = rows.checkpoint(eager=True)
-    price = F.broadcast(plans.select(F.col("plan_id").alias("_pid"), "plan_name", "price"))
-    prev_price = F.broadcast(plans.select(F.col("plan_id").alias("_ppid"), F.col("price").alias("_prev_price")))
+    price = plans.select(F.col("plan_id").alias("_pid"), "plan_name", "price")
+    prev_price = plans.select(F.col("plan_id").alias("_ppid"), F.col("price").alias("_prev_price"))
     rows = (rows.join(price, F.col(plan_col) == F.col("_pid"))
             .join(prev_price, F.col("_p_" + plan_col) == F.col("_ppid"), "left"))
 
@@ -93,4 +93,4 @@ def payment_schedule(subs: DataFrame, plans: DataFrame, period_start, period_end
     amount = F.when(credit, F.col("price") - F.col("_prev_price")).otherwise(F.col("price"))
     out = sched.select(key, plan_col, "plan_name", "payment_date", amount.alias("amount"))
     return sequence_number(out, key, ["payment_date", plan_col], "payment_order",
-                           split=F.trunc(F.col("payment_date"), "month"))
+                           split=F.col("payment_date"))

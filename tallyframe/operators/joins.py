@@ -41,23 +41,3 @@ def member_join(df: DataFrame, list_col, dim: DataFrame, dim_key: str,
 def full_outer_merge(left: DataFrame, right: DataFrame, keys) -> DataFrame:
     """Full outer join on equal keys with the keys coalesced (LEFT ∪ RIGHT)."""
     return left.join(right, on=_cols(keys), how="full_outer")
-
-
-def flag_matched(df: DataFrame, other: DataFrame, keys, flag_col: str = "matched") -> DataFrame:
-    """Add a boolean: does the key occur in ``other``?  ``other`` is reduced to
-    distinct keys first, so the join never multiplies rows."""
-    keys = _cols(keys)
-    marks = other.select(*keys).distinct().withColumn(flag_col, F.lit(True))
-    return df.join(marks, on=keys, how="left").withColumn(flag_col, F.coalesce(F.col(flag_col), F.lit(False)))
-
-
-def attach_group_count(df: DataFrame, keys, out_col: str = "group_rows") -> DataFrame:
-    """Add the number of rows of the row's group.
-
-    Done as aggregate-then-join rather than ``count() over (partition by)``:
-    the aggregate is partial (map-side), and a hot group on the join is split
-    by adaptive skew-join handling instead of landing in one window task.
-    """
-    keys = _cols(keys)
-    counts = df.groupBy(*keys).agg(F.count("*").alias(out_col))
-    return df.join(counts, on=keys, how="inner")

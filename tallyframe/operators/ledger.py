@@ -14,8 +14,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from collections.abc import Mapping
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -61,14 +59,6 @@ def balance_segments(balances: DataFrame, keys, date_col: str, balance_col: str,
             .select(*keys, "seg_start", "seg_end", balance_col))
 
 
-def month_spine(first_dates: DataFrame, keys, first_col: str, end_date: Column) -> DataFrame:
-    """(account, month) for every month from the account's first month to the
-    month of ``end_date``; ``month`` is the first day of the month."""
-    keys = _cols(keys)
-    months = F.sequence(F.trunc(first_col, "month"), F.trunc(end_date, "month"), F.expr("INTERVAL 1 MONTH"))
-    return first_dates.select(*keys, F.explode(months).alias("month"))
-
-
 def month_end_balances(txns: DataFrame, keys, date_col: str, net_col: str, end_date: Column,
                        out_col: str = "closing_balance", extra_aggs: Mapping[str, Column] | None = None) -> DataFrame:
     """Closing balance of every account for every month from its first active
@@ -81,11 +71,12 @@ def month_end_balances(txns: DataFrame, keys, date_col: str, net_col: str, end_d
     the spine then runs on data already partitioned by account.
     ``extra_aggs`` (name → aggregate expression) adds further per-month
     aggregates as columns of the spine (NULL in months without rows).
+    Rows without a date belong to no month and are left out.
     """
     keys = _cols(keys)
     extra = dict(extra_aggs or {})
     zero = F.lit(0).cast(txns.schema[net_col].dataType)
-    monthly = txns.groupBy(*keys, F.trunc(date_col, "month").alias("_m")).agg(
+    monthly = txns.where(F.col(date_col).isNotNull()).groupBy(*keys, F.trunc(date_col, "month").alias("_m")).agg(
         F.sum(net_col).alias("_net"), *[e.alias(f"_x_{n}") for n, e in extra.items()])
     entry = F.struct(F.col("_net").alias("net"), *[F.col(f"_x_{n}").alias(n) for n in extra])
     per_key = monthly.groupBy(*keys).agg(

@@ -22,12 +22,12 @@ def unique_nodes(nodes: DataFrame) -> DataFrame:
 
 
 def nodes_per_region(nodes: DataFrame, regions: DataFrame) -> DataFrame:
-    return (nodes.join(F.broadcast(regions), "region_id").groupBy("region_id", "region_name")
+    return (nodes.join(regions, "region_id").groupBy("region_id", "region_name")
             .agg(F.count_distinct("node_id").alias("number_of_node")))
 
 
 def customers_per_region(nodes: DataFrame, regions: DataFrame) -> DataFrame:
-    return (nodes.join(F.broadcast(regions), "region_id").groupBy("region_id", "region_name")
+    return (nodes.join(regions, "region_id").groupBy("region_id", "region_name")
             .agg(F.count_distinct("customer_id").alias("customers")))
 
 
@@ -37,7 +37,7 @@ def reallocation_gaps(nodes: DataFrame) -> DataFrame:
     Rows are ordered by start date per customer (split by month, so a
     customer with a very long history is not one task)."""
     return change_gaps(nodes, "customer_id", "start_date", "node_id",
-                       split=F.trunc(F.col("start_date"), "month"), out_col="diff")
+                       split=F.to_date("start_date"), out_col="diff")
 
 
 def avg_reallocation_days(nodes: DataFrame) -> DataFrame:

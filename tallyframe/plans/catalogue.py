@@ -1,4 +1,6 @@
 """Import every query module so the registry is complete."""
 
-from tallyframe.plans import bank_queries, delivery_queries, subscription_queries, ledger_queries, billing_queries  # noqa: F401
+from tallyframe.plans import (  # noqa: F401
+    bank_queries, billing_queries, cleaning_queries, delivery_queries, ledger_queries, subscription_queries,
+)
 from tallyframe.plans.registry import QUERIES, runner  # noqa: F401

@@ -97,6 +97,11 @@ def _closing(t) -> DataFrame:
     return month_end_balances(_signed(t), "customer_id", "txn_date", "net", _end_date(t))
 
 
+def _one_account():
+    """A key that all customers share.  It is no literal, so a window over the months stays partitioned by it."""
+    return F.xxhash64("customer_id").bitwiseAND(F.lit(0).cast("long"))
+
+
 def _dbl(c, digits=None):
     """Cents → currency units as a double."""
     c = F.col(c) if isinstance(c, str) else c
@@ -126,7 +131,7 @@ def avg_deposits_per_customer(t):
     per = (ledger(t).where(F.col("txn_type") == "deposit").groupBy("customer_id")
            .agg(F.count("*").alias("n"), F.sum("amount").alias("total")))
     return per.agg(F.round(F.sum("n") * 1.0 / F.count("*"), ROUND).alias("avg_deposit_count"),
-                   mean_half_up(F.sum("total"), F.count("*") * 100, 4).alias("avg_deposit_amount"))
+                   mean_half_up(F.sum(F.col("total").cast("decimal(20,0)")), F.count("*") * 100, 4).alias("avg_deposit_amount"))
 
 
 @query("active_customers_per_month", oracle=f"""
@@ -177,9 +182,10 @@ FROM ends
 def balance_growth_share(t):
     """Customers whose last closing balance exceeds their first by more than
     5% (only positive first balances can grow), and their percent of all."""
-    ends = _closing(t).groupBy("customer_id").agg(
-        F.min_by("closing_balance", "month").alias("opening"),
-        F.max_by("closing_balance", "month").alias("final"))
+    # the first closing balance is the first month's net, the last one the total: no month spine
+    monthly = _signed(t).where(F.col("txn_date").isNotNull()).groupBy(
+        "customer_id", F.trunc("txn_date", "month").alias("month")).agg(F.sum("net").alias("net"))
+    ends = monthly.groupBy("customer_id").agg(F.min_by("net", "month").alias("opening"), F.sum("net").alias("final"))
     grow = (F.col("opening") > 0) & (F.col("final") * 100 > F.col("opening") * 105)
     return ends.agg(F.count_if(grow).alias("n_growing"),
                     F.round(F.count_if(grow) * 100.0 / F.count("*"), ROUND).alias("pct"))
@@ -210,7 +216,7 @@ def balance_stats(t):
     b = running_balance(_daily(t), "customer_id", "txn_date", "daily_net")
     return b.groupBy("customer_id").agg(
         _dbl(F.min("running_balance")).alias("min_balance"),
-        mean_half_up(F.sum("running_balance"), F.count("*") * 100, 4).alias("avg_balance"),
+        mean_half_up(F.sum(F.col("running_balance").cast("decimal(20,0)")), F.count("*") * 100, 4).alias("avg_balance"),
         _dbl(F.max("running_balance")).alias("max_balance"))
 
 
@@ -322,13 +328,15 @@ FROM dbal GROUP BY 1
 def interest_simple(t):
     """Daily simple interest (rate/365 on each end-of-day balance, signed)
     summed per month over all customers."""
+    # Linear in the nets, so all customers are one account: a net counts for the rest of
+    # its own month and for every day of the months after.
     end = _end_date(t)
-    seg = _segments(t)
-    anchors = F.sequence(F.trunc("seg_start", "month"), F.trunc("seg_end", "month"), F.expr("INTERVAL 1 MONTH"))
-    w = window_weighted_sum(seg, "customer_id", "balance", F.col("month"),
-                            F.least(F.last_day(F.col("month")), end), anchors)
-    return (w.groupBy("month")
-            .agg(F.round(_dbl(F.sum("balance_days")) * RATE / 365, 2).alias("interest")))
+    rest = F.datediff(F.least(F.last_day("txn_date"), end), "txn_date") + 1
+    nets = _signed(t).select(_one_account().alias("_all"), "txn_date", F.col("net").cast("decimal(20,0)").alias("net"))
+    spine = month_end_balances(nets, "_all", "txn_date", "net", end, extra_aggs={"own": F.sum(F.col("net") * rest)})
+    days = F.datediff(F.least(F.last_day("month"), end), "month") + 1
+    before = F.col("closing_balance") - F.col("month_net")
+    return spine.select("month", F.round(_dbl(before * days + F.coalesce("own", F.lit(0))) * RATE / 365, 2).alias("interest"))
 
 
 @query("interest_compound", oracle=f"""
@@ -362,13 +370,14 @@ def interest_compound(t):
     # Discounted amounts summed per month alongside the nets: one month spine,
     # no separate aggregate and join.
     k = _dbl("net") * F.pow(F.lit(g), -F.datediff("txn_date", d0))
-    spine = month_end_balances(_signed(t), "customer_id", "txn_date", "net", end,
-                               extra_aggs={"k_month": F.sum(k)})
-    w = Window.partitionBy("customer_id").orderBy("month")
+    # Linear in the nets, so all customers are one account.
+    nets = _signed(t).select(_one_account().alias("_all"), "txn_date", F.col("net").cast("decimal(20,0)").alias("net"))
+    spine = month_end_balances(nets, "_all", "txn_date", "net", end, extra_aggs={"k_month": F.sum(k)})
+    w = Window.partitionBy("_all").orderBy("month")
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     s = (spine.withColumns({"s_end": F.sum(F.coalesce("k_month", F.lit(0.0))).over(running),
                             "e": F.least(F.last_day("month"), end)})
          .withColumn("b_end", F.col("s_end") * F.pow(F.lit(g), F.datediff("e", d0) + 1)))
     i = s.withColumn("interest", F.col("b_end") - F.coalesce(F.lag("b_end").over(w), F.lit(0.0))
                      - _dbl("month_net"))
-    return i.groupBy("month").agg(F.round(F.sum("interest"), 2).alias("interest"))
+    return i.select("month", F.round("interest", 2).alias("interest"))

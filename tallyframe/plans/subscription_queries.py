@@ -98,9 +98,10 @@ def errored_never_purchased(t):
     per_user = t.events.groupBy("user_id").agg(
         F.max(F.col("event_type") == "purchase").alias("_bought"),
         F.count_if(F.col("event_type") == "error").alias("_err"))
-    n = F.sum(F.when(~F.col("_bought"), F.col("_err")).otherwise(0))
+    # a NULL user is nobody: not counted as a user, and its purchases clear nobody
+    n = F.sum(F.when(~F.col("_bought") | F.col("user_id").isNull(), F.col("_err")).otherwise(0))
     return per_user.agg(n.cast("long").alias("n_rows"),
-                        F.round(n * 100.0 / F.count("*"), ROUND).alias("pct"))
+                        F.round(n * 100.0 / F.count("user_id"), ROUND).alias("pct"))
 
 
 @query("non_view_counts", oracle=f"""

@@ -22,7 +22,7 @@ TRIAL, BASIC, PRO_MONTHLY, PRO_ANNUAL, CHURN = 0, 1, 2, 3, 4
 def journeys(subs: DataFrame, plans: DataFrame, customers: DataFrame | None = None) -> DataFrame:
     """Plan rows with name and price (optionally only for given customers,
     e.g. a sample to describe)."""
-    out = subs.join(F.broadcast(plans), "plan_id")
+    out = subs.join(plans, "plan_id")
     if customers is not None:
         out = out.join(customers.select("customer_id").distinct(), "customer_id", "left_semi")
     return out
@@ -45,7 +45,7 @@ def trial_starts_per_month(subs: DataFrame) -> DataFrame:
 
 
 def starts_after_year(subs: DataFrame, plans: DataFrame, year: int = 2020) -> DataFrame:
-    return (subs.where(after_year("start_date", year)).join(F.broadcast(plans), "plan_id")
+    return (subs.where(after_year("start_date", year)).join(plans, "plan_id")
             .groupBy("plan_name").agg(F.count("*").alias("n")))
 
 
@@ -89,13 +89,13 @@ def plan_breakdown_as_of(subs: DataFrame, plans: DataFrame, day=dt.date(2020, 12
     """Plan *held* by every customer on a date, count and percent of customers."""
     held = as_of_state(subs, "customer_id", "start_date", ["plan_id"], F.lit(day))
     counts = held.groupBy("plan_id").agg(F.count("*").alias("customers"))
-    return share_of_total(counts, "customers", "percentage").join(F.broadcast(plans.select("plan_id", "plan_name")),
+    return share_of_total(counts, "customers", "percentage").join(plans.select("plan_id", "plan_name"),
                                                                   "plan_id")
 
 
 def annual_upgrades_in_year(subs: DataFrame, plans: DataFrame, year: int = 2020) -> DataFrame:
     return (subs.where(in_year("start_date", year))
-            .join(F.broadcast(plans.where(F.col("plan_name").ilike("%annual%")).select("plan_id")), "plan_id")
+            .join(plans.where(F.col("plan_name").ilike("%annual%")).select("plan_id"), "plan_id")
             .agg(F.count("*").alias("number_customer_upgraded_annual")))
 
 
@@ -131,7 +131,7 @@ def basic_starts_in_year_literal(subs: DataFrame, year: int = 2020) -> DataFrame
 def downgrades_in_year(subs: DataFrame, year: int = 2020) -> DataFrame:
     """Customers moving straight from pro monthly to basic monthly in a year."""
     moves = transitions(subs, "customer_id", "start_date", "plan_id", PRO_MONTHLY, BASIC,
-                        split=F.trunc(F.col("start_date"), "month"))
+                        split=F.to_date("start_date"))
     return (moves.where(F.year("start_date") == year)
             .agg(F.count_distinct("customer_id").alias("downgraded_customers")))
 

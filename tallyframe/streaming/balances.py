@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,18 +48,38 @@ def daily_net_stream(stream: DataFrame, lateness: str = "2 days") -> DataFrame:
             .agg(F.sum("net").alias("daily_net")))
 
 
-def start(query_df: DataFrame, name: str, mode: str, sink: str = "memory", trigger: dict | None = None,
-          run_id: str | None = None):
+def snapshots(path: str, keys) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` sink for update mode: each batch writes the whole table of latest rows per key to
+    ``path/<batch>``.  A batch that runs again after a failure reads the same predecessor and overwrites its own
+    folder, so the result is as if it had run once."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+
+    def upsert(batch: DataFrame, number: int) -> None:
+        latest = batch
+        if number > 0:
+            before = batch.sparkSession.read.parquet(f"{path}/{number - 1}")
+            latest = before.join(batch, keys, "left_anti").unionByName(batch)
+        latest.write.mode("overwrite").parquet(f"{path}/{number}")
+
+    return upsert
+
+
+def start(query_df: DataFrame, name: str, mode: str, sink: str | Callable[[DataFrame, int], None],
+          options: dict[str, str] | None = None, trigger: dict | None = None, run_id: str | None = None):
     """Start a query with its checkpoint under the shared checkpoint folder.
 
-    A durable sink restarts from ``streams/<name>`` after a failure.  The
-    in-memory sink cannot recover, so each of its runs gets its own folder.
+    ``sink`` is a format (with ``options`` such as ``path``) or a
+    ``foreachBatch`` function such as :func:`snapshots`; a durable one restarts
+    from ``streams/<name>`` after a failure.  The in-memory sink holds all its
+    output on the driver and cannot recover: name it for tests only; each of
+    its runs gets its own folder.
     """
     spark = query_df.sparkSession
     if sink == "memory" and run_id is None:
         run_id = uuid.uuid4().hex
     ckpt = os.path.join(checkpoint_dir(spark), "streams", name if run_id is None else f"{name}-{run_id}")
-    w = query_df.writeStream.outputMode(mode).format(sink).option("checkpointLocation", ckpt)
+    w = query_df.writeStream.outputMode(mode).option("checkpointLocation", ckpt).options(**(options or {}))
+    w = w.foreachBatch(sink) if callable(sink) else w.format(sink)
     if sink == "memory":
         w = w.queryName(name)
     if trigger:

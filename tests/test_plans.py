@@ -6,6 +6,7 @@ import re
 import pytest
 
 import __spark_entry__ as E
+from tallyframe.plans.catalogue import QUERIES
 
 SF = "/root/testdata/sf0.001"
 FORBIDDEN = ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython", "ArrowEvalPython",
@@ -16,7 +17,7 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plan_shape(spark, name):
     df = E.queries()[name](spark, SF)
     plan = _plan(df)
