@@ -14,8 +14,8 @@ order up, joins on context and suffix give each n-gram its probability,
 and the result goes back to the chunks that asked.  A document's score is the mean number of bits a byte,
 log2 of its perplexity.  A document is rejected above the threshold of its language and length class:
 the 0.995 quantile of the trusted documents held out.  The rank is the conformal one, so a class needs 199 of
-them; from 20 on a class takes its maximum and ``SLACK``, below that the larger of this and the quantile of
-its language, or of all languages.
+them; from 20 on a class takes its maximum, below that the larger of this and the quantile of its language, or of
+all languages, in either case with ``SLACK`` on top.
 """
 
 from __future__ import annotations
@@ -29,13 +29,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from tallyframe.llm.chunks import CHUNK_BYTES, chunk_count, chunk_of, fragments, opened, tag_chunk, tag_count, tagged
-from tallyframe.llm.rows import checkpointed, col, packed, text_of, unpacked
+from tallyframe.llm.rows import beside, checkpointed, col, packed, text_of, unpacked
 
 ORDER = 5
 QUANTILE = 0.995
 #: One in so many trusted documents is held out for the thresholds.
 HOLD = 2
-#: Held-out documents from which a class stands on its own, and what it adds to its maximum (bits a byte).
+#: Held-out documents from which a class stands on its own, and what is added without a quantile of its own (bits a byte).
 ENOUGH, SLACK = 20, 0.1
 #: Bytes whose n-grams are unpacked at a time.
 SLICE = 1 << 21
@@ -146,8 +146,7 @@ def probabilities(counts: DataFrame, order: int = ORDER) -> DataFrame:
         seen = level.filter("c > 0").groupBy("ctx").agg(
             F.sum("c").cast("double").alias("all"), *[F.count_if(F.col("c") == i).alias(f"n{i}") for i in (1, 2)],
             F.count_if(F.col("c") >= 3).alias("n3"))
-        d = F.broadcast(_discounts(levels[k]).withColumn("one", F.lit(1)))  # a single row
-        full = level.withColumn("one", F.lit(1)).join(d, "one").join(seen, "ctx", "left")
+        full = beside(level, _discounts(levels[k]), "gram").join(seen, "ctx", "left")
         if lower is None:
             full = full.withColumn("low", F.lit(1 / 256))
         else:
@@ -197,7 +196,7 @@ def thresholds(held: DataFrame, quantile: float = QUANTILE) -> DataFrame:
 
     def ranked(name: str, *keys: str) -> DataFrame:
         per = counted.groupBy(*keys, "milli").agg(F.sum("n").alias("n"))
-        w = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+        w = Window.partitionBy(*keys) if keys else Window.partitionBy(F.xxhash64("n").bitwiseAND(F.lit(0).cast("long")))
         running = per.withColumn("upto", F.sum("n").over(w.orderBy("milli"))).withColumn("all", F.sum("n").over(w))
         rank = F.ceil((F.col("all") + 1) * F.lit(quantile))
         return running.groupBy(*keys).agg(
@@ -206,8 +205,7 @@ def thresholds(held: DataFrame, quantile: float = QUANTILE) -> DataFrame:
 
     own = ranked("own", "lang", "size_class")
     of_lang = ranked("of_lang", "lang").drop("most", "held")
-    of_all = F.broadcast(ranked("of_all").drop("most", "held").withColumn("one", F.lit(1)))  # a single row
-    return own.join(of_lang, "lang").withColumn("one", F.lit(1)).join(of_all, "one").drop("one")
+    return beside(own.join(of_lang, "lang"), ranked("of_all").drop("most", "held"), "lang")
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -225,11 +223,11 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     limit = checkpointed(thresholds(held.select("lang", "size_class", "bits"), quantile))
     by_class = limit.select("lang", "size_class", "own", "most", "held")
     by_lang = limit.groupBy("lang").agg(F.first("of_lang").alias("of_lang"))
-    everywhere = F.broadcast(limit.agg(F.first("of_all").alias("of_all"), F.max("most").alias("top")).withColumn("one", F.lit(1)))
-    known = scored.join(by_class, ["lang", "size_class"], "left").join(by_lang, "lang", "left").withColumn("one", F.lit(1)).join(everywhere, "one")
+    everywhere = limit.agg(F.first("of_all").alias("of_all"), F.max("most").alias("top"))
+    known = beside(scored.join(by_class, ["lang", "size_class"], "left").join(by_lang, "lang", "left"), everywhere, "lang")
     pooled = F.coalesce("of_lang", "of_all", "top")
-    most = F.col("most") + SLACK
-    bound = F.coalesce("own", F.when(F.col("held") >= ENOUGH, most).otherwise(F.greatest(pooled, most)))
+    largest = F.when(F.col("held") >= ENOUGH, F.col("most")).otherwise(F.greatest(pooled, "most"))
+    bound = F.coalesce("own", largest + SLACK)
     kept = (F.col("size") > 0) & F.coalesce(F.col("bits") <= bound, F.lit(True))
     return known.select("id", "th", "lang", "size", "bits", F.pow(F.lit(2.0), "bits").alias("perplexity"),
                         F.pow(F.lit(2.0), bound).alias("threshold"), kept.alias("kept"))
