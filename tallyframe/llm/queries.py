@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyframe.llm.attention_lm import lm_scores
-from tallyframe.llm.chat_format import format_conversations, masked_texts, read_back, unescape
+from tallyframe.llm.chat_format import CONTROL, END, SEP, START, format_conversations, masked_texts, read_back, unescape
 from tallyframe.llm.exact_dedup import verdicts as exact_verdicts
 from tallyframe.llm.html_extract import extract
 from tallyframe.llm.kneser_ney import quality_scores
@@ -99,7 +100,28 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+#: The control strings of the template, as one pattern for the SQL: each gets one character more.
+_CONTROL = "|".join(re.escape(c[0]) + r"\\*" + re.escape(c[1:]) for c in sorted(CONTROL, key=len, reverse=True)).replace("'", "''")
+_MARKERS = len(START) + len(SEP) + len(END)
+
 _SQL = {
+    "op3_chat_formatting": rf"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+),
+joined AS (
+    SELECT conv_id, count(*) AS n_turns,
+           string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS said,
+           coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '') AS loss,
+           sum({_MARKERS} + length(role) + length(text) + len(regexp_extract_all(role, '{_CONTROL}'))
+               + len(regexp_extract_all(text, '{_CONTROL}')))::BIGINT AS formatted_chars
+    FROM turns GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars
+FROM joined
+""",
     "op1_exact_dedup": r"""
 WITH d AS (
     SELECT doc_id, length(coalesce(text, '')) AS n,
