@@ -11,9 +11,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyframe.llm import byte_bpe
 from tallyframe.llm.attention_lm import lm_scores
 from tallyframe.llm.chat_format import CONTROL, END, SEP, START, format_conversations, masked_texts, read_back, unescape
 from tallyframe.llm.exact_dedup import verdicts as exact_verdicts
+from tallyframe.llm.fill_in_middle import fill_in_middle, restored
 from tallyframe.llm.html_extract import extract
 from tallyframe.llm.kneser_ney import quality_scores
 from tallyframe.llm.licenses import license_scan
@@ -100,11 +102,52 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, and the text decoded from them again."""
+    encoded = byte_bpe.encode(table(spark, sf_dir, "documents"))
+    ids = F.array_join("ids", " ").cast("binary")
+    digests = encoded.select(F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), "ids")
+    decoded = byte_bpe.decode(digests, out_col="decoded")
+    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form and cuts of every document, and the text rebuilt from the output."""
+    out = fill_in_middle(table(spark, sf_dir, "documents"))
+    sha = lambda text: F.sha2(text.cast("binary"), 256)
+    return out.select(F.col("id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars", sha(F.col("output")).alias("output_sha256"),
+                      sha(restored(F.col("output"), F.col("form"))).alias("restored_sha256"))
+
+
 #: The control strings of the template, as one pattern for the SQL: each gets one character more.
 _CONTROL = "|".join(re.escape(c[0]) + r"\\*" + re.escape(c[1:]) for c in sorted(CONTROL, key=len, reverse=True)).replace("'", "''")
 _MARKERS = len(START) + len(SEP) + len(END)
 
 _SQL = {
+    "op13_fill_in_middle": r"""
+WITH units AS (
+    SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u, sha256('1:' || doc_id) AS h
+    FROM documents
+),
+draws AS (
+    SELECT *, len(u) AS n, [('0x' || substr(h, 8 * k - 7, 8))::BIGINT for k in [1, 2, 3, 4]] AS d FROM units
+),
+cuts AS (
+    SELECT *, least(d[1] % (n + 1), d[2] % (n + 1)) AS a, greatest(d[1] % (n + 1), d[2] % (n + 1)) AS b,
+           CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR d[3] % 100 >= 90 THEN 'plain'
+                WHEN d[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+    FROM draws
+),
+parts AS (
+    SELECT *, array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1:b], '') AS m, array_to_string(u[b + 1:], '') AS s FROM cuts
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM parts
+""",
     "op3_chat_formatting": rf"""
 WITH turns AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -139,7 +182,7 @@ FROM d
 
 _QUERIES = [
     op1_exact_dedup, op2_mix_sources, op3_chat_formatting, op4_license_scan, op5_simhash_near_dedup, op6_html_extraction,
-    op7_quality_rules, op8_best_fit_packing, op9_quality_classifier, op10_lm_scoring,
+    op7_quality_rules, op8_best_fit_packing, op9_quality_classifier, op10_lm_scoring, op12_byte_bpe, op13_fill_in_middle,
 ]
 
 
