@@ -24,6 +24,7 @@ from tallyframe.llm.packing import packed_pieces
 from tallyframe.llm.quality_rules import BASE, quality_verdicts
 from tallyframe.llm.rows import table
 from tallyframe.llm.simhash import near_duplicates
+from tallyframe.llm.vector_codes import ENTRIES, PARTS, ROUNDS, SCALE, books_sha256, vector_codes
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,6 +103,12 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code and errors of every vector, and a digest of the codebooks."""
+    codes, books = vector_codes(table(spark, sf_dir, "embeddings"))
+    return codes.select(F.col("id").alias("vec_id"), "code", "error", "label_error", F.lit(books_sha256(books)).alias("codebooks_sha256"))
+
+
 def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, and the text decoded from them again."""
     encoded = byte_bpe.encode(table(spark, sf_dir, "documents"))
@@ -123,7 +130,44 @@ def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 _CONTROL = "|".join(re.escape(c[0]) + r"\\*" + re.escape(c[1:]) for c in sorted(CONTROL, key=len, reverse=True)).replace("'", "''")
 _MARKERS = len(START) + len(SEP) + len(END)
 
+def _codebook_rounds() -> str:
+    """The rounds of the vector codes in SQL: assignment, then averages; the last assignment has no averages after it."""
+    steps = []
+    for i in range(ROUNDS + 1):
+        steps.append(f"""
+won{i} AS MATERIALIZED (
+    SELECT r, p, min(list_sum([(z[1] - z[2]) * (z[1] - z[2]) FOR z IN list_zip(x, y)])::BIGINT * {ENTRIES} + e) AS best
+    FROM parts JOIN book{i} USING (p) GROUP BY r, p)""")
+        if i < ROUNDS:
+            steps.append(f"""
+sum{i} AS (
+    SELECT p, e, j, sum(a)::BIGINT AS s, count(*) AS c
+    FROM (SELECT p, best % {ENTRIES} AS e, unnest(x) AS a, generate_subscripts(x, 1) AS j FROM parts JOIN won{i} USING (r, p))
+    GROUP BY p, e, j),
+book{i + 1} AS MATERIALIZED (
+    SELECT p, e, coalesce(m, y) AS y FROM book{i}
+    LEFT JOIN (SELECT p, e, list((s - (s % c + c) % c) // c ORDER BY j) AS m FROM sum{i} GROUP BY p, e) USING (p, e))""")
+    return ",".join(steps)
+
+
 _SQL = {
+    "op11_vector_codes": f"""
+WITH whole AS (
+    SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label, [floor({SCALE} * x)::BIGINT FOR x IN embedding] AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+parts AS MATERIALIZED (
+    SELECT r, p, v[p * (len(v) // {PARTS}) + 1:(p + 1) * (len(v) // {PARTS})] AS x FROM whole, range({PARTS}) AS t(p)),
+book0 AS MATERIALIZED (SELECT p, r - 1 AS e, x AS y FROM parts WHERE r <= {ENTRIES}),{_codebook_rounds()},
+coded AS (
+    SELECT r, string_agg(printf('%02x', best % {ENTRIES}), '' ORDER BY p) AS code, sum(best // {ENTRIES})::BIGINT AS error
+    FROM won{ROUNDS} GROUP BY r),
+digest AS (
+    SELECT sha256(string_agg(c, ',' ORDER BY p, e)) AS codebooks_sha256
+    FROM (SELECT p, e, array_to_string(y, ',') AS c FROM book{ROUNDS}))
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256
+FROM whole JOIN coded USING (r), digest
+""",
     "op13_fill_in_middle": r"""
 WITH units AS (
     SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u, sha256('1:' || doc_id) AS h
@@ -182,7 +226,7 @@ FROM d
 
 _QUERIES = [
     op1_exact_dedup, op2_mix_sources, op3_chat_formatting, op4_license_scan, op5_simhash_near_dedup, op6_html_extraction,
-    op7_quality_rules, op8_best_fit_packing, op9_quality_classifier, op10_lm_scoring, op12_byte_bpe, op13_fill_in_middle,
+    op7_quality_rules, op8_best_fit_packing, op9_quality_classifier, op10_lm_scoring, op11_vector_codes, op12_byte_bpe, op13_fill_in_middle,
 ]
 
 

@@ -16,13 +16,13 @@ SF = "/root/testdata/sf0.001"
 
 def test_one_query_for_each_operator():
     names = list(E.queries())
-    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)] == [1] * 10 and "pipeline" in names
+    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)] == [1] * 13 and "pipeline" in names
 
 
 @pytest.mark.parametrize("name", sorted(Q.oracle_sql()))
 def test_against_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     want = con.sql(Q.oracle_sql()[name])
     df = Q.queries()[name](spark, SF)
