@@ -15,9 +15,3 @@ def spark():
     s = get_session("local[*]", 8, app_name="tallyframe-tests", extra={"spark.sql.warehouse.dir": warehouse})
     yield s
 
-
-def rows(df, *cols):
-    """Collected rows as sorted tuples (optionally of selected columns)."""
-    if cols:
-        df = df.select(*cols)
-    return sorted(tuple(r) for r in df.collect())

@@ -1,4 +1,4 @@
-from conftest import rows
+from fixtures import rows
 from pyspark.sql import functions as F
 
 from tallyframe.operators.append import validated_append

@@ -1,8 +1,7 @@
 import datetime as dt
 from decimal import Decimal
 
-from conftest import rows
-from fixtures import PAYMENTS_EXPECTED, PLANS, SUBSCRIPTIONS_SAMPLE, load
+from fixtures import PAYMENTS_EXPECTED, PLANS, SUBSCRIPTIONS_SAMPLE, load, rows
 
 from tallyframe.operators.billing import payment_schedule
 

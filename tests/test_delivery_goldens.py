@@ -4,9 +4,8 @@ the results of the original answers on those rows."""
 import datetime as dt
 
 import pytest
-from conftest import rows
 from fixtures import (CUSTOMER_ORDERS, PIZZA_NAMES, PIZZA_RECIPES, PIZZA_TOPPINGS, RUNNER_ORDERS, RUNNERS,
-                      load)
+                      load, rows)
 
 from tallyframe.plans import delivery as D
 from tallyframe.sources.literal import frame

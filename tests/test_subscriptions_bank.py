@@ -1,8 +1,7 @@
 import datetime as dt
 
 import pytest
-from conftest import rows
-from fixtures import CUSTOMER_NODES_1, PLANS, REGIONS, SUBSCRIPTIONS_SAMPLE, TRANSACTIONS_1, load
+from fixtures import CUSTOMER_NODES_1, PLANS, REGIONS, SUBSCRIPTIONS_SAMPLE, TRANSACTIONS_1, load, rows
 
 from tallyframe.plans import bank as B
 from tallyframe.plans import subscriptions as S
