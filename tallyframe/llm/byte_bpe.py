@@ -3,11 +3,14 @@
 **Encoding.**  A sequence of tokens is the BPE encoding of its bytes exactly if each token encodes to itself and no
 merge crosses the border of two neighbours.  The merges thus compile into a non-deterministic transducer: it walks the
 trie of the tokens, and where a token ends it may begin the next one if the two are neighbours that BPE leaves alone.
-Of all paths over the same bytes one ends on a token border, so reading byte by byte, the set of open paths is a
-deterministic state: for each path its place in the trie, its last whole token, and the tokens on which the open paths
-still differ.  What all of them agree on is emitted at once; as no path stays inside one token for more bytes than the
-longest token has, the lookahead is bounded.  States and transitions are made when a text first asks for them and
-forgotten when there are too many (``TRANSITIONS``), so time grows with the bytes alone, however long a piece is.
+Of all paths over the same bytes exactly one ends on a token border.  Determinised, a state is the set of open paths,
+which has two parts: their places in the trie, and the last whole token of each.  The places make the control states,
+whose transitions are made when a text first asks for them; there are at most as many as trie nodes.  The last tokens
+stand in registers, one for each byte that the longest token can reach back, for written out in the states they would
+multiply these without end.  A step looks up the transition, takes of the tokens that end here the one that fits
+the register where it begins, and sets the register of the new border.  A token is emitted when all open paths agree
+on it, and as no path stays inside one token for more bytes than the longest token has, the lookahead is bounded.  Time
+grows with the bytes alone, however long a piece is.
 
 **Decoding.**  The well-formed byte sequences of UTF-8 are a machine of eight states.  Each token is compiled to its
 effect on each state, so that a stream of ids moves the machine token by token; most tokens lead from the start to the
@@ -23,7 +26,7 @@ import sys
 import types
 from collections.abc import Callable, Iterator
 from functools import lru_cache
-from os.path import commonprefix
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,14 +44,17 @@ TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = "'s|'t|'re|'ve|'m|'ll|'d| ?[{L}]+| ?[{N}]+| ?[^{S}{L}{N}]+|[{S}]+(?![^{S}])|[{S}]+"
 #: Below this code point the classes are spelled out, for a faster engine.
 NEAR = 0x250
-#: Keys of a state beside its transitions.
-PATHS, FINAL = -1, -2
-#: A worker forgets its transitions (about 300 bytes each) and its pieces (about 200) when it has so many.
-TRANSITIONS, PIECES = 600_000, 400_000
+#: A worker remembers so many pairs of neighbours (a table of 18 bytes each) and so many pieces (about 200 bytes each), and
+#: forgets them all when there are more.
+PAIRS, PIECES = 1 << 19, 400_000
 #: Longer pieces are not remembered.
 PIECE_CHARS = 64
 #: Texts are cut between pieces into blocks of about so many characters, and ids are decoded in blocks of so many.
 BLOCK_CHARS, BLOCK_IDS = 1 << 18, 1 << 16
+#: The pieces of texts of about so many bytes walk together.
+WALK_BYTES = 2 << 20
+#: What the paths of a long piece agree on is emitted after every so many bytes.
+EMIT = 4096
 
 
 def merge_bytes(data: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -136,6 +142,62 @@ def _newer_code_points() -> list[tuple[int, int]]:
     return out
 
 
+class _PairTable:
+    """Pairs with an answer of 0 or 1, in a hash table that is emptied when half full."""
+
+    def __init__(self, pairs: int):
+        self.bits = max(pairs.bit_length(), 4)
+        self._empty()
+
+    def _empty(self) -> None:
+        self.keys = np.full(1 << self.bits, -1, np.int64)
+        self.answers = np.full(1 << self.bits, -1, np.int8)
+        self.n = 0
+
+    def _slots(self, pairs: np.ndarray) -> np.ndarray:
+        spread = pairs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)  # fixed: 2^64 over the golden ratio
+        return (spread >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def get(self, pairs: np.ndarray) -> np.ndarray:
+        """The answers, -1 where there is none."""
+        slot, mask = self._slots(pairs), len(self.keys) - 1
+        out, left = np.full(len(pairs), -1, np.int8), np.arange(len(pairs))
+        while len(left):
+            key = self.keys[slot[left]]
+            hit = key == pairs[left]
+            out[left[hit]] = self.answers[slot[left[hit]]]
+            left = left[~hit & (key >= 0)]
+            slot[left] = (slot[left] + 1) & mask
+        return out
+
+    def put(self, pairs: np.ndarray, answers: np.ndarray) -> None:
+        """Add pairs that are not there."""
+        mask = len(self.keys) - 1
+        for slot, pair, answer in zip(self._slots(pairs).tolist(), pairs.tolist(), answers.tolist(), strict=True):
+            if 2 * self.n > mask:
+                self._empty()
+            while self.keys[slot] >= 0:
+                slot = (slot + 1) & mask
+            self.keys[slot], self.answers[slot], self.n = pair, answer, self.n + 1
+
+
+class _Grown:
+    """Short lists of tuples by number, in one array that grows."""
+
+    def __init__(self, longest: int, width: int = 1):
+        self.rows, self.count, self.n = np.zeros((64, longest, width), np.int32), np.zeros(64, np.int32), 0
+
+    def add(self, values: list) -> int:
+        if self.n == len(self.rows):
+            self.rows, self.count = np.concatenate([self.rows, self.rows]), np.concatenate([self.count, self.count])
+        if len(values) > self.rows.shape[1]:
+            self.rows = np.concatenate([self.rows, self.rows], axis=1)
+            return self.add(values)
+        self.rows[self.n, : len(values)] = np.reshape(values, (len(values), -1))
+        self.count[self.n], self.n = len(values), self.n + 1
+        return self.n - 1
+
+
 class Transducer:
     """Bytes to token ids."""
 
@@ -157,18 +219,22 @@ class Transducer:
                     self.inner.append(False)
                 node = nxt
             self.token_at[node] = rank
-        self.leaves_alone: dict[int, bool] = {}
+        self.depth = [0] * len(self.token_at)
+        for place, child in self.edges.items():  # parents were numbered first
+            self.depth[child] = self.depth[place >> 8] + 1
+        self.length = np.zeros(len(self.splits), np.int32)
+        for token, rank in vocab.ranks.items():
+            self.length[rank] = len(token)
         self.left_edge: dict[int, list] = {}
         self.right_edge: dict[int, list] = {}
-        self._forget()
-
-    def _forget(self) -> None:
-        """A state is the dict of its transitions, byte -> (state, tokens emitted), and holds its open paths and the tokens
-        to emit if the bytes end here under two keys that are no bytes."""
-        paths = ((0, -1, ()),)
-        self.start = {PATHS: paths, FINAL: ()}
-        self.states, self.transitions = {paths: self.start}, 0
-        self.leaves_alone.clear()
+        self.pairs = _PairTable(PAIRS)
+        # control states by number: the places of their open paths, and the number of the move under each byte
+        self.places, self.number = [(0,)], {(0,): 0}
+        self.table = np.full((1, 256), -1, np.int32)
+        # moves by number: the next control state, and the tokens that end there with their lengths, the longest first
+        self.next_state, self.ends = _Grown(1), _Grown(8, 2)
+        self.read: dict[int, tuple[int, list]] = {}  # the moves that long pieces made, and their pairs
+        self.met: dict[int, bool] = {}
 
     def _edge(self, token: int, side: int) -> list[tuple[bytes, int, int]]:
         """The token, its last part on one side, that part's last part, and so on: the bytes of each, the rank that makes
@@ -202,60 +268,137 @@ class Transducer:
                         return False
         return True
 
-    def _move(self, state: dict, byte: int) -> tuple[dict, tuple]:
-        """The transition of a state under a byte, made on first use."""
-        if self.transitions >= TRANSITIONS:
-            self._forget()  # the state in hand goes on
-        edges, tokens, inner, known = self.edges, self.token_at, self.inner, self.leaves_alone
-        paths, border = [], None  # paths stand in the order in which they left a border
-        for node, last, pending in state[PATHS]:
-            child = edges.get(node << 8 | byte)
-            if child is None:
-                continue
-            if inner[child]:
-                paths.append((child, last, pending))
-            token = tokens[child]
-            if token >= 0 and border is None:
-                pair = last << 32 | token
-                fits = last < 0 or known.get(pair)
-                if fits is None:
-                    fits = known[pair] = self.neighbours(last, token)
-                if fits:  # the one path that ends on a border here
-                    border = (0, token, (*pending, token))
-        paths.append(border)
-        shared: tuple = ()
-        if all(p[2] for p in paths):
-            shared = commonprefix([p[2] for p in paths])
-            paths = [(node, last, pending[len(shared) :]) for node, last, pending in paths]
-        key = tuple(paths)
-        new = self.states.get(key)
+    def _move(self, state: int, byte: int) -> int:
+        """The transition of a control state under a byte, made on first use."""
+        children = [c for c in (self.edges.get(node << 8 | byte) for node in self.places[state]) if c is not None]
+        places = (*[c for c in children if self.inner[c]], 0)  # on the border that is here a path begins
+        new = self.number.get(places)
         if new is None:
-            new = self.states[key] = {PATHS: key, FINAL: paths[-1][2]}
-        move = state[byte] = (new, shared)
-        self.transitions += 1
-        return move
+            new = self.number[places] = len(self.places)
+            self.places.append(places)
+            if new == len(self.table):
+                self.table = np.concatenate([self.table, np.full_like(self.table, -1)])
+        ends = [(self.token_at[c], self.depth[c]) for c in children if self.token_at[c] >= 0]
+        move = self.table[state, byte] = self.next_state.add([new])
+        self.ends.add(ends)
+        return int(move)
+
+    def fits(self, pairs: np.ndarray) -> np.ndarray:
+        """Whether the tokens of each pair (left << 32 | right) may stand side by side."""
+        found = self.pairs.get(pairs)
+        if (unknown := found < 0).any():
+            asked, back = np.unique(pairs[unknown], return_inverse=True)
+            answers = np.array([self.neighbours(p >> 32, p & 0xFFFFFFFF) for p in asked.tolist()], np.int8)
+            self.pairs.put(asked, answers)
+            found[unknown] = answers[back]
+        return found.astype(bool)
+
+    def encode_many(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all pieces one after the other, how many each has); no piece is empty.  All walk together, byte by byte, the
+        longest first in the rows."""
+        length = np.array([len(p) for p in pieces], np.int64)
+        order = np.argsort(-length, kind="stable")
+        size, n, width = length[order], len(pieces), int(length.max(initial=0))
+        at = np.arange(int(length.sum())) - np.repeat(np.cumsum(size) - size, size)
+        data = np.zeros((width, n), np.uint8)
+        data[at, np.repeat(np.arange(n), size)] = np.frombuffer(b"".join(pieces[i] for i in order), np.uint8)
+        # the registers: border[i, row] is the token that ends i bytes on, -1 where the piece begins
+        border, state = np.full((width + 1, n), -1, np.int32), np.zeros(n, np.int32)
+        for i in range(1, width + 1):
+            rows = int(np.searchsorted(-size, -i, "right"))
+            here, byte = state[:rows], data[i - 1, :rows]
+            move = self.table[here, byte]
+            if (move < 0).any():
+                for place in np.unique(here[move < 0] << 8 | byte[move < 0]).tolist():
+                    self._move(place >> 8, place & 0xFF)
+                move = self.table[here, byte]
+            state[:rows] = self.next_state.rows[move, 0, 0]
+            left, nth = np.arange(rows), 0
+            while len(left):
+                token, span = self.ends.rows[move, nth, 0], self.ends.rows[move, nth, 1]
+                last = border[i - span, left]
+                fit = (self.ends.count[move] == nth + 1) | (last < 0)  # one fits: the only one left, or the whole piece so far
+                ask = np.flatnonzero(~fit)
+                fit[ask] = self.fits(last[ask].astype(np.int64) << 32 | token[ask])
+                border[i, left[fit]] = token[fit]
+                left, move, nth = left[~fit], move[~fit], nth + 1
+        # back from the end, border by border
+        steps, at, rows, count = [], size.copy(), np.arange(n), np.zeros(n, np.int64)
+        while len(rows):
+            token = border[at[rows], rows]
+            steps.append((rows, token))
+            count[rows] += 1
+            at[rows] -= self.length[token]
+            rows = rows[at[rows] > 0]
+        counts = np.empty(n, np.int64)
+        counts[order] = count
+        end, ids = np.cumsum(counts)[order], np.empty(int(counts.sum()), np.int32)
+        for k, (rows, token) in enumerate(steps, 1):
+            ids[end[rows] - k] = token
+        return ids, counts
+
+    def _agreed(self, border: list[int], open_at: set[int]) -> int:
+        """The last border that the paths to all the given borders share."""
+        while len(open_at) > 1:
+            at = max(open_at)
+            open_at.remove(at)
+            open_at.add(at - int(self.length[border[at]]))
+        return open_at.pop()
+
+    def _path(self, border: list[int], at: int) -> list[int]:
+        out = []
+        while at:
+            out.append(border[at])
+            at -= int(self.length[border[at]])
+        return out[::-1]
+
+    def _read(self, state: int, byte: int) -> tuple[int, list]:
+        """A move as plain numbers."""
+        move = int(self.table[state, byte])
+        if move < 0:
+            move = self._move(state, byte)
+        ends = self.ends.rows[move, : self.ends.count[move]].tolist()
+        found = self.read[state << 8 | byte] = (int(self.next_state.rows[move, 0, 0]), ends)
+        return found
+
+    def _met(self, pair: int) -> bool:
+        if len(self.met) >= PAIRS:
+            self.met.clear()
+        fits = self.met[pair] = bool(self.fits(np.array([pair]))[0])
+        return fits
 
     def encode(self, piece: bytes) -> list[int]:
-        """The ids of one piece."""
-        state, out = self.start, []
+        """The ids of one piece of any length: what its open paths agree on is emitted as it is read."""
+        out, border, at, state = [], [-1], 0, 0
+        read, met = self.read, self.met
         for byte in piece:
-            move = state.get(byte)
-            if move is None:
-                move = self._move(state, byte)
-            state, emitted = move
-            if emitted:
-                out += emitted
-        out += state[FINAL]
-        return out
+            state, ends = read.get(state << 8 | byte) or self._read(state, byte)
+            at += 1
+            for token, length in ends:
+                last = border[at - length]
+                if last < 0:
+                    break
+                fits = met.get(last << 32 | token)
+                if fits is None:
+                    fits = self._met(last << 32 | token)
+                if fits:
+                    break
+            border.append(token)
+            if at == EMIT:
+                agreed = self._agreed(border, {at - self.depth[node] for node in self.places[state]})
+                out += self._path(border, agreed)
+                border, at = border[agreed:], at - agreed
+        return out + self._path(border, at)
 
 
 class Encoder:
-    """Texts to ids: pieces of the pattern, each through the transducer; frequent pieces are remembered."""
+    """Texts to ids: pieces of the pattern, those not met before through the transducer together."""
 
     def __init__(self, vocab: Vocabulary):
         import regex
 
-        self.transducer, self.whole, self.known = Transducer(vocab), vocab.whole, {}
+        self.transducer, self.whole = Transducer(vocab), vocab.whole
+        self._forget()
         newer = "".join(f"\\U{a:08X}-\\U{b:08X}" for a, b in vocab.newer)
         less = f"--[{newer}]" if newer else ""
         self.exact = regex.compile(PATTERN.format(L=f"[\\p{{L}}{less}]", N=f"[\\p{{N}}{less}]", S=r"\s"), regex.V1)
@@ -275,27 +418,58 @@ class Encoder:
             at = border.end()
         yield text[at:]
 
+    def _pieces(self, block: str) -> list[str]:
+        return (self.exact if self.far.search(block) else self.near).findall(block)
+
+    def _forget(self) -> None:
+        # pieces by number; the ids of all, one piece after the other; where each begins, and the end of the last
+        self.number: dict[str, int] = {}
+        self.ids, self.begin = np.empty(0, np.int32), np.zeros(1, np.int64)
+
+    def _learn(self, asked: set[str]) -> None:
+        """Number all these pieces."""
+        new = asked - self.number.keys()
+        if len(self.number) + len(new) > PIECES:
+            self._forget()
+            new = asked
+        data = {p: p.encode() for p in new}
+        together = [p for p in new if len(p) <= PIECE_CHARS and data[p] not in self.whole]
+        ids, counts = self.transducer.encode_many([data[p] for p in together])
+        alone = [p for p in new.difference(together)]
+        more = [[self.whole[data[p]]] if data[p] in self.whole else self.transducer.encode(data[p]) for p in alone]
+        self.number.update(zip([*together, *alone], range(len(self.number), len(self.number) + len(new)), strict=True))
+        counts = np.concatenate([counts, np.array([len(x) for x in more], np.int64)])
+        self.ids = np.concatenate([self.ids, ids, *[np.array(x, np.int32) for x in more]])
+        self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(counts)])
+        if sum(map(len, alone)) > WALK_BYTES // 8:  # very long pieces are not kept beyond this round
+            self.stale = True
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text.  Blocks of texts go through together, a few megabytes at a time."""
+        out: list[list[np.ndarray]] = [[] for _ in texts]
+        blocks = [(i, block) for i, text in enumerate(texts) for block in self.blocks(text)]
+        begin = 0
+        while begin < len(blocks):
+            end, size = begin, 0
+            while end < len(blocks) and size < WALK_BYTES:
+                size, end = size + len(blocks[end][1]), end + 1
+            self.stale = False
+            pieces = [self._pieces(block) for _, block in blocks[begin:end]]
+            self._learn(set(chain.from_iterable(pieces)))
+            number = np.fromiter(map(self.number.__getitem__, chain.from_iterable(pieces)), np.int64, sum(map(len, pieces)))
+            first, count = self.begin[number], self.begin[number + 1] - self.begin[number]
+            upto = np.r_[0, np.cumsum(count)]
+            ids = self.ids[np.repeat(first - upto[:-1], count) + np.arange(upto[-1])]
+            ends = upto[np.cumsum([len(p) for p in pieces])]
+            for (i, _), part in zip(blocks[begin:end], np.split(ids, ends[:-1]), strict=True):
+                out[i].append(part)
+            if self.stale:
+                self._forget()
+            begin = end
+        return [np.concatenate(x) if len(x) > 1 else x[0] for x in out]
+
     def encode(self, text: str) -> np.ndarray:
-        out, known = [], self.known
-        for block in self.blocks(text):
-            pattern = self.exact if self.far.search(block) else self.near
-            ids: list[int] = []
-            for piece in pattern.findall(block):
-                found = known.get(piece)
-                if found is None:
-                    found = self._piece(piece)
-                ids += found
-            out.append(np.array(ids, np.int32))
-        return np.concatenate(out) if len(out) > 1 else out[0]
-
-    def _piece(self, piece: str) -> list[int]:
-        data = piece.encode()
-        ids = [self.whole[data]] if data in self.whole else self.transducer.encode(data)
-        if len(piece) <= PIECE_CHARS:
-            if len(self.known) >= PIECES:
-                self.known.clear()
-            self.known[piece] = ids
-        return ids
+        return self.encode_all([text])[0]
 
 
 #: The states of UTF-8: start; one, two or three more bytes of any kind; the restricted second bytes after E0, ED, F0 and
@@ -319,31 +493,29 @@ def utf8_machine() -> np.ndarray:
 
 
 class Tokens:
-    """The bytes of all tokens in one array, and the effect of each token on the states of UTF-8."""
+    """The bytes of all tokens, and the effect of each token on the states of UTF-8."""
 
     def __init__(self, vocab: Vocabulary):
-        size = len(vocab.splits)
-        by_id = [b""] * size
+        self.by_id: list[bytes | None] = [None] * len(vocab.splits)
         for token, rank in vocab.ranks.items():
-            by_id[rank] = token
-        self.length = np.array([len(t) for t in by_id], np.int64)
-        self.data = np.frombuffer(b"".join(by_id), np.uint8)
-        self.start = np.r_[0, np.cumsum(self.length)[:-1]]
-        self.known = self.length > 0
+            self.by_id[rank] = token
+        length = np.array([len(t or b"") for t in self.by_id], np.int64)
+        data = np.frombuffer(b"".join(t or b"" for t in self.by_id), np.uint8)
+        start = np.r_[0, np.cumsum(length)[:-1]]
         machine = utf8_machine()
-        self.effect = np.repeat(np.arange(9, dtype=np.int8)[:, None], size, axis=1)
-        for at in range(int(self.length.max())):
-            some = np.flatnonzero(self.length > at)
-            self.effect[:, some] = machine[self.effect[:, some], self.data[self.start[some] + at]]
+        self.effect = np.repeat(np.arange(9, dtype=np.int8)[:, None], len(length), axis=1)
+        for at in range(int(length.max())):
+            some = np.flatnonzero(length > at)
+            self.effect[:, some] = machine[self.effect[:, some], data[start[some] + at]]
 
-    def bytes_of(self, ids: np.ndarray) -> np.ndarray:
+    def bytes_of(self, ids: np.ndarray) -> bytes:
         """The bytes of a stream of ids."""
-        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.known) or not self.known[ids].all()):
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.by_id)):
             raise ValueError("ids that are not in the vocabulary")
-        lengths = self.length[ids]
-        ends = np.cumsum(lengths)
-        shift = np.repeat(self.start[ids] - (ends - lengths), lengths)
-        return self.data[shift + np.arange(len(shift))]
+        try:
+            return b"".join(map(self.by_id.__getitem__, ids.tolist()))
+        except TypeError:
+            raise ValueError("ids that are not in the vocabulary") from None
 
 
 class StreamDecoder:
@@ -358,8 +530,8 @@ class StreamDecoder:
 
     def feed(self, ids: np.ndarray) -> str:
         tokens, state = self.tokens, self.state
-        data = tokens.bytes_of(ids).tobytes()
-        cuts = np.flatnonzero(tokens.effect[START, ids] != START)  # only these leave the start
+        data = tokens.bytes_of(ids)
+        cuts = np.flatnonzero(tokens.effect[START][ids] != START)  # only these leave the start
         at, next_cut = 0, 0
         while at < len(ids) and state != BAD:
             if state == START:
@@ -436,7 +608,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", toke
         for batch in batches:
             for a, b in _spans(batch.column("t")):
                 part = batch.slice(a, b - a)
-                ids = [encoder.encode(t) for t in part.column("t").to_pylist()]
+                ids = encoder.encode_all(part.column("t").to_pylist())
                 ends = np.cumsum([0, *map(len, ids)])
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids)))
                 yield pa.RecordBatch.from_arrays([part.column("id"), lists], ["id", "ids"])
@@ -444,7 +616,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", toke
     return rows.mapInArrow(run, f"id {kind}, ids array<int>")
 
 
-def _spans(texts: pa.Array, limit: int = 16 << 20) -> Iterator[tuple[int, int]]:
+def _spans(texts: pa.Array, limit: int = WALK_BYTES) -> Iterator[tuple[int, int]]:
     """Runs of rows with about ``limit`` bytes of text together, so that what a task holds is bounded by that and by its
     longest text."""
     total, begin = 0, 0

@@ -42,13 +42,12 @@ def test_every_token_is_itself(vocab):
 def test_blocks_and_a_full_memory_change_nothing(vocab, library, monkeypatch):
     text = " ".join(TEXTS) * 3
     want = library.encode_ordinary(text)
-    monkeypatch.setattr(B, "BLOCK_CHARS", 10)
-    monkeypatch.setattr(B, "TRANSITIONS", 50)
-    monkeypatch.setattr(B, "PIECES", 5)
+    for name, value in (("BLOCK_CHARS", 10), ("PAIRS", 50), ("PIECES", 40), ("EMIT", 130), ("WALK_BYTES", 60), ("PIECE_CHARS", 6)):
+        monkeypatch.setattr(B, name, value)
     encoder = B.Encoder(vocab)
     assert len(list(encoder.blocks(text))) > 50 and "".join(encoder.blocks(text)) == text
     assert encoder.encode(text).tolist() == want
-    assert encoder.transducer.transitions <= 50
+    assert len(encoder.number) <= 40 and len(encoder.transducer.met) <= 50 and encoder.transducer.pairs.n <= 64
 
 
 def plain_bpe(data, ranks):
@@ -77,17 +76,30 @@ def test_any_vocabulary():
         transducer = B.Transducer(vocab)
         for _ in range(40):
             data = bytes(r.choice(b"abc") for _ in range(r.randrange(1, 25)))
-            assert transducer.encode(data) == plain_bpe(data, ranks), (order, data)
+            want = plain_bpe(data, ranks)
+            assert transducer.encode(data) == want, (order, data)
+            ids, counts = transducer.encode_many([data, b"a", data])
+            assert ids.tolist() == [*want, ranks[b"a"], *want] and counts.tolist() == [len(want), 1, len(want)]
     assert {rising for rising, _ in kinds} == {whole for _, whole in kinds} == {True, False}
 
 
-def test_lookahead_is_bounded(vocab):
-    """What waits in a state stands within the longest token."""
-    transducer = B.Transducer(vocab)
-    transducer.encode(b"a" * 3000 + b"abab" * 500 + b"\xf0\x9f\x98\x80" * 300)
+def test_lookahead_is_bounded(vocab, monkeypatch):
+    """Whenever tokens are emitted, what waits is a few longest tokens at most; and no control state beyond the trie's nodes."""
+    waiting = []
+
+    class Watched(B.Transducer):
+        def _agreed(self, border, open_at):
+            agreed = super()._agreed(border, open_at)
+            waiting.append(len(border) - 1 - agreed)
+            return agreed
+
     longest = max(map(len, vocab.ranks))
-    waiting = [sum(len(transducer.bytes_of[t]) for t in pending) for paths in transducer.states for _, _, pending in paths]
-    assert max(waiting) <= 2 * longest
+    monkeypatch.setattr(B, "EMIT", 3 * longest)
+    transducer = Watched(vocab)
+    for piece in (b"a" * 9000, b"abab" * 2500, b"\xf0\x9f\x98\x80" * 900, b" " * 9000, b"0123456789" * 900, b"supercalifragilistic" * 300):
+        transducer.encode(piece)
+    assert len(waiting) > 40 and max(waiting) < 2 * longest
+    assert len(transducer.places) <= len(transducer.token_at)
 
 
 def test_streaming_decode(vocab):
