@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping
 from decimal import Decimal
 
@@ -10,7 +9,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyframe.functions.text import counted_label
-from tallyframe.session import checkpoint_dir
 
 
 def _cols(x) -> list[str]:
@@ -94,132 +92,95 @@ def counted_items_by_kind(df: DataFrame, group_cols, item_col: str, kind_col: st
     return grouped.select(*group_cols, *outs)
 
 
-def rank_percentiles(df: DataFrame, group_cols, value_col: str,
-                     percentiles: Mapping[str, float | str | Decimal], by_digits: bool = False) -> DataFrame:
+def rank_percentiles(df: DataFrame, group_cols, value_col: str, percentiles: Mapping[str, float | str | Decimal]) -> DataFrame:
     """Rank-based percentiles per group: for each ``name -> p`` the mean of the
     values at 1-based ranks floor(n·p) and ceil(n·p) of the group's ascending
     order (rank 0 does not exist, so for n·p < 1 only rank ceil(n·p) counts).
     ``p`` is multiplied as an exact decimal.  NULL values are not ranked.
+    Numbers of any type give doubles, dates and timestamps the days and
+    microseconds since 1970.
 
     The rows are first reduced to a histogram (group, value, count) with a
     partial aggregate; see ``rank_percentiles_from_histogram``.
-    ``by_digits=True`` (any numeric, date or timestamp value) ranks by 16-bit
-    digits of the value instead, so no window ever spans more than 65,536
-    entries whatever the number of distinct values in a group.
     """
     group_cols = _cols(group_cols)
     hist = (df.where(F.col(value_col).isNotNull())
             .groupBy(*group_cols, value_col).agg(F.count("*").alias("_cnt")))
-    return rank_percentiles_from_histogram(hist, group_cols, value_col, "_cnt", percentiles, by_digits)
+    return rank_percentiles_from_histogram(hist, group_cols, value_col, "_cnt", percentiles)
 
 
-_DIGIT_BITS = 16
-_LEVELS = 4
+SPLITTERS = 4096
 
 
-def _ordered_key(col: Column, dtype: str) -> Column:
-    """An order-preserving, one-to-one signed long for an integral, date,
-    timestamp (microseconds from the epoch, no zone shift) or floating-point
-    value."""
+def _bucket(value: Column, splitters: Column, size: int) -> Column:
+    """How many of the ascending ``splitters`` (NULL-free, at most ``size``) are at most ``value``: a binary search."""
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(size.bit_length()))])
+
+    def step(at: Column, by: Column) -> Column:
+        return F.when((at + by <= F.size(splitters)) & (F.try_element_at(splitters, at + by) <= value), at + by).otherwise(at)
+
+    return F.aggregate(steps, F.lit(0), step)
+
+
+def _number(value: Column, dtype: str) -> Column:
+    """A value as what percentiles are means of."""
     if dtype == "date":
-        return F.unix_date(col).cast("long")
-    if dtype.startswith("timestamp"):
-        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast(dtype), col)
-    if dtype in ("double", "float"):
-        return double_key(col.cast("double"))
-    if m := re.fullmatch(r"decimal\((\d+),(\d+)\)", dtype):
-        if int(m[1]) > 18:
-            raise ValueError(f"digit ranks need a decimal of at most 18 digits, not {dtype}")
-        return (col * F.lit(Decimal(10 ** int(m[2])))).cast("long")  # the unscaled value
-    if dtype not in ("tinyint", "smallint", "int", "bigint"):
-        raise ValueError(f"digit ranks need a number, a date or a timestamp, not {dtype}")
-    return col.cast("long")
-
-
-def double_key(x: Column) -> Column:
-    """The IEEE-754 bit pattern of |x| (exponent field, then 52 mantissa bits)
-    as a long, negated for negative x: ordered like the values, one-to-one
-    on finite values (0.0 and -0.0 meet, as SQL compares them equal), +inf
-    above every finite value and NaN above +inf.  Pure arithmetic: the
-    exponent is floor(log2|x|) corrected by one step where rounding of the
-    logarithm missed a power of two; dividing by a power of two is exact."""
-    a = F.abs(x)
-    e0 = F.floor(F.log2(a))
-    e = (F.when(F.pow(F.lit(2.0), e0) > a, e0 - 1)
-         .when(F.pow(F.lit(2.0), e0 + 1) <= a, e0 + 1).otherwise(e0))
-    e = F.greatest(e, F.lit(-1022)).cast("long")
-    m = a / F.pow(F.lit(2.0), e)                        # [1, 2) normal, [0, 1) subnormal
-    frac = F.when(m >= 1, m - 1).otherwise(m) * F.lit(float(1 << 52))
-    exp_field = F.when(m >= 1, e + 1023).otherwise(F.lit(0)).cast("long")
-    bits = F.shiftleft(exp_field, 52) + frac.cast("long")
-    bits = (F.when(a == 0, F.lit(0)).when(F.isnan(x), F.lit((1 << 63) - 1))
-            .when(a == float("inf"), F.lit(0x7FF << 52)).otherwise(bits)).cast("long")
-    return F.when(x < 0, -bits).otherwise(bits)
-
-
-def digit_ranks(hist: DataFrame, group_cols, value_col: str, count_col: str) -> DataFrame:
-    """Rank interval [_lo, _hi] of every histogram row (group, value, count)
-    within its group in ascending value order, plus the group size ``_n``.
-
-    The value is mapped to an unsigned 64-bit key and cut into four 16-bit
-    digits.  The count of smaller values is the sum of four offsets, one per
-    digit level, each a running sum over at most 65,536 sibling digits:
-    every window is bounded no matter how many distinct values a group has.
-
-    The histogram feeds five branches (three digit levels, the group sizes,
-    the final join), so it is checkpointed once to the shared checkpoint
-    folder (an eager job) and every branch reads that instead of recomputing
-    its lineage.
-    """
-    group_cols = _cols(group_cols)
-    dtype = hist.schema[value_col].dataType.simpleString()
-    key = _ordered_key(F.col(value_col), dtype)
-    # Flip the sign bit: unsigned order of the bits = signed order of the value.
-    flipped = key.bitwiseXOR(F.lit(-(1 << 63)))
-    digits = {f"_d{i}": F.shiftrightunsigned(flipped, _DIGIT_BITS * (_LEVELS - 1 - i)).bitwiseAND(0xFFFF)
-              for i in range(_LEVELS)}
-    checkpoint_dir(hist.sparkSession)
-    h = hist.withColumns(digits).checkpoint(eager=True)
-    d = [f"_d{i}" for i in range(_LEVELS)]
-    offsets = h
-    for level in range(_LEVELS):
-        parent = [*group_cols, *d[:level]]
-        below = Window.partitionBy(*parent).orderBy(d[level]).rowsBetween(Window.unboundedPreceding, -1)
-        if level < _LEVELS - 1:
-            sums = h.groupBy(*parent, d[level]).agg(F.sum(count_col).alias("_s"))
-            sums = sums.select(*parent, d[level], F.coalesce(F.sum("_s").over(below), F.lit(0)).alias(f"_o{level}"))
-            offsets = offsets.join(sums, on=[*parent, d[level]], how="inner")
-        else:  # last digit: one row per distinct value already
-            offsets = offsets.withColumn(f"_o{level}", F.coalesce(F.sum(count_col).over(below), F.lit(0)))
-    total = h.groupBy(*group_cols).agg(F.sum(count_col).alias("_n"))
-    lo = sum((F.col(f"_o{i}") for i in range(1, _LEVELS)), F.col("_o0")) + 1
-    return (offsets.join(total, on=group_cols, how="inner")
-            .select(*group_cols, value_col, lo.alias("_lo"), (lo + F.col(count_col) - 1).alias("_hi"), "_n"))
+        return F.unix_date(value)
+    if dtype.startswith("timestamp"):  # of the value as it reads, without a zone shift
+        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast(dtype), value)
+    if dtype in ("string", "binary", "boolean") or "<" in dtype:
+        raise ValueError(f"percentiles need a number, a date or a timestamp, not {dtype}")
+    return value
 
 
 def rank_percentiles_from_histogram(hist: DataFrame, group_cols, value_col: str, count_col: str,
-                                    percentiles: Mapping[str, float | str | Decimal],
-                                    by_digits: bool = False) -> DataFrame:
+                                    percentiles: Mapping[str, float | str | Decimal], splitters: int = SPLITTERS) -> DataFrame:
     """``rank_percentiles`` over a histogram (group, value, count of rows).
 
-    The running count is a window over the *distinct* values of a group, not
-    over its rows, so a group holding a third of all rows costs no more than
-    its number of distinct values.  Each target rank is located as the
-    histogram row whose [first rank, last rank] interval contains it.
-    ``by_digits``: rank intervals from ``digit_ranks`` (bounded windows).
+    Selection by narrowing.  About ``splitters`` values that cut the histogram's
+    rows into equal shares (one small aggregate) deal every row to a bucket of
+    neighbouring values.  The counts per (group, bucket), at most as many a
+    group as there are splitters, tell in which buckets the wanted ranks lie;
+    only the rows of those, two for each percentile at most, are ranked one by
+    one.  So no window spans more than the splitters, or than a share of
+    1/splitters of the histogram, however many values a group has.  The
+    branches read the histogram through one exchange.
     """
     group_cols = _cols(group_cols)
-    if by_digits:
-        return _percentiles_from_ranks(digit_ranks(hist, group_cols, value_col, count_col), group_cols, value_col,
-                                       percentiles)
-    by_value = Window.partitionBy(*group_cols).orderBy(value_col) \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = Window.partitionBy(*group_cols)
-    hi = F.sum(count_col).over(by_value)
-    n = F.sum(count_col).over(whole)
-    cum = hist.select(*group_cols, value_col, (hi - F.col(count_col) + 1).alias("_lo"), hi.alias("_hi"),
-                      n.alias("_n"))
-    return _percentiles_from_ranks(cum, group_cols, value_col, percentiles)
+    value = _number(F.col(value_col), hist.schema[value_col].dataType.simpleString())
+    # A null group is a group: (value, is NULL) pairs join as plain equality.
+    keys = {f"_g{i}": F.col(c) for i, c in enumerate(group_cols)}
+    rows = hist.select(*[c.alias(k) for k, c in keys.items()], value.alias("_v"), F.col(count_col).alias("_c"))
+    shares = [(i + 1) / (splitters + 1) for i in range(splitters)]
+    # the count takes part, so that this branch reads what the others read
+    cuts = rows.agg(F.array_sort(F.array_distinct(F.array_compact(F.percentile_approx("_v", shares, 2 * splitters)))).alias("cuts"), F.max("_c").alias("c"))
+    cuts = cuts.select(F.struct("cuts", "c")).scalar()["cuts"]
+    # a column first, for functions over arrays can't hold a subquery
+    dealt = rows.withColumn("_cuts", cuts).withColumn("_b", _bucket(F.col("_v"), F.col("_cuts"), splitters)).drop("_cuts")
+    counts = dealt.groupBy(*keys, "_b").agg(F.sum("_c").alias("_s"))
+    before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumns({"_before": F.coalesce(F.sum("_s").over(before), F.lit(0)),
+                                 "_n": F.sum("_s").over(Window.partitionBy(*keys))})
+    wanted = None
+    for rank in (r for p in percentiles.values() for r in _ranks(F.col("_n"), p)):
+        hit = rank.between(F.col("_before") + 1, F.col("_before") + F.col("_s"))
+        wanted = hit if wanted is None else wanted | hit
+    go_on = counts.where(wanted).select(*[F.col(k).alias(f"_w{k}") for k in keys], F.col("_b").alias("_wb"), "_before", "_n")
+    same = F.col("_b") == F.col("_wb")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_w{k}"))
+    narrowed = dealt.join(go_on, same)
+    upto = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    hi = F.col("_before") + F.sum("_c").over(upto)
+    ranked = narrowed.select(*keys, "_v", (hi - F.col("_c") + 1).alias("_lo"), hi.alias("_hi"), "_n")
+    out = _percentiles_from_ranks(ranked, list(keys), "_v", percentiles)
+    return out.select(*[F.col(k).alias(c) for k, c in zip(keys, group_cols)], *percentiles)
+
+
+def _ranks(n: Column, p: float | str | Decimal) -> tuple[Column, Column]:
+    """floor(n·p) and ceil(n·p) of the exact decimal product."""
+    at = n * F.lit(Decimal(str(p)))
+    return F.floor(at).cast("long"), F.ceil(at).cast("long")
 
 
 def _percentiles_from_ranks(cum: DataFrame, group_cols, value_col: str,
@@ -229,8 +190,7 @@ def _percentiles_from_ranks(cum: DataFrame, group_cols, value_col: str,
     # Target ranks once per row (exact decimal n·p), then plain comparisons.
     ranks = {}
     for i, p in enumerate(percentiles.values()):
-        pos = F.col("_n") * F.lit(Decimal(str(p)))
-        ranks[f"_kf{i}"], ranks[f"_kc{i}"] = F.floor(pos).cast("long"), F.ceil(pos).cast("long")
+        ranks[f"_kf{i}"], ranks[f"_kc{i}"] = _ranks(F.col("_n"), p)
     cum = cum.withColumns(ranks)
     aggs = []
     for i in range(len(percentiles)):

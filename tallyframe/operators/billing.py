@@ -24,7 +24,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.operators.states import neighbours_in_sequence, sequence_number
-from tallyframe.session import checkpoint_dir
 
 
 def _month_index(d: Column) -> Column:
@@ -55,12 +54,6 @@ def payment_schedule(subs: DataFrame, plans: DataFrame, period_start, period_end
     split = F.col(start_col)
     rows = neighbours_in_sequence(rows, key, order, [plan_col, start_col], [start_col],
                                   prev_prefix="_p_", next_prefix="_n_", split=split)
-    # The payment numbering below reads its input twice (slice rows and slice
-    # counts); checkpointing the plan rows with their neighbours (an eager job
-    # into the shared checkpoint folder) keeps the neighbour pass from running
-    # once per branch.
-    checkpoint_dir(subs.sparkSession)
-    rows = rows.checkpoint(eager=True)
     price = plans.select(F.col("plan_id").alias("_pid"), "plan_name", "price")
     prev_price = plans.select(F.col("plan_id").alias("_ppid"), F.col("price").alias("_prev_price"))
     rows = (rows.join(price, F.col(plan_col) == F.col("_pid"))

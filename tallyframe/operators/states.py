@@ -142,18 +142,24 @@ def sequence_number(df: DataFrame, keys, order_cols, out_col: str = "seq_no",
                     split: Column | None = None) -> DataFrame:
     """1-based position of each row within its key in ``order_cols`` order.
 
-    Two levels like ``previous_in_sequence``: a row number within each
-    (key, split) slice plus the number of rows in the key's earlier slices
-    (a running sum over the per-slice counts).
+    The rows are dealt by (key, split) slice once.  A row number within each
+    slice is offset by the number of rows in the key's earlier slices, a
+    running sum over the per-slice counts, of which a key has no more than the
+    calendar has slices.  Rows and counts read the same exchange, so ``df``
+    itself is computed once, and nothing is written or started here.
     """
     keys, order_cols = _cols(keys), _cols(order_cols)
     if split is None:
         split = F.to_date(F.col(order_cols[0]))
     slice_cols, kc, sc = _slice_columns(df, keys, split)
-    sliced = df.withColumns(slice_cols)
-    local = sliced.withColumn("_rn", F.row_number().over(
+    dealt = df.withColumns(slice_cols).repartition(*kc, *sc)
+    local = dealt.withColumn("_rn", F.row_number().over(
         Window.partitionBy(*kc, *sc).orderBy(*[F.col(c) for c in order_cols])))
-    counts = sliced.groupBy(*kc, *sc).agg(F.count("*").alias("_cnt"))
+    # An odd number is never 0: all rows are counted, by all their columns, so
+    # that the counts ask the exchange for what the rows ask it for, and Spark
+    # sees that it is one.
+    every = F.xxhash64(*[F.col(c) for c in dealt.columns]).bitwiseOR(F.lit(1).cast("long")) != 0
+    counts = dealt.groupBy(*kc, *sc).agg(F.count_if(every).alias("_cnt"))
     before = Window.partitionBy(*kc).orderBy(*_split_order()).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(before), F.lit(0))).drop("_cnt")
     return (local.join(offsets, on=[*kc, *sc], how="left")
@@ -199,6 +205,36 @@ def as_of_state(df: DataFrame, key, time_col: str, state_cols, as_of, tie_cols:
             .select(*keys, *[F.col("_s")[c].alias(c) for c in state_cols]))
 
 
+def state_calendar(df: DataFrame, key, time_col: str, state_col: str, tie_cols: Sequence[str] = (),
+                   out_col: str = "n_keys") -> DataFrame:
+    """(day, state, n): how many keys hold each state at the end of every day
+    from the first to the last of the data; states that nobody holds have no row.
+
+    Instead of an as-of join per day: a key adds one to its new state and takes
+    one from its last on the days on which it changes, and the sums of these by
+    day and state are accumulated over the calendar.  The per-key window spans
+    the key's active days, all that follows is days times states.  A NULL key
+    or state is one like any other; rows without a time hold nothing.
+    """
+    keys = _cols(key)
+    last = F.max_by(F.struct(F.col(state_col).alias("state")), F.struct(F.col(time_col), *[F.col(c) for c in tie_cols]))
+    daily = (df.where(F.col(time_col).isNotNull())
+             .groupBy(*keys, F.to_date(time_col).alias("day")).agg(last.alias("_now")))
+    before = F.lag("_now").over(Window.partitionBy(*keys).orderBy("day"))
+    moved = daily.withColumn("_before", before).where(~F.col("_now").eqNullSafe(F.col("_before")))
+    events = F.array_compact(F.array(
+        F.struct(F.col("_now.state").alias("state"), F.lit(1).alias("n")),
+        F.when(F.col("_before").isNotNull(), F.struct(F.col("_before.state").alias("state"), F.lit(-1).alias("n")))))
+    changes = moved.select("day", F.inline(events)).groupBy("day", "state").agg(F.sum("n").alias("n"))
+    end = df.agg(F.to_date(F.max(time_col))).scalar()
+    per_state = changes.groupBy("state").agg(
+        F.map_from_entries(F.collect_list(F.struct("day", "n"))).alias("_n"), F.min("day").alias("_first"))
+    spine = per_state.select("state", "_n", F.explode(F.sequence("_first", end)).alias("day"))
+    upto = Window.partitionBy("state").orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    held = spine.withColumn(out_col, F.sum(F.coalesce(F.try_element_at("_n", F.col("day")), F.lit(0))).over(upto))
+    return held.where(F.col(out_col) > 0).select("day", F.col("state").alias(state_col), out_col)
+
+
 def first_to_first_days(df: DataFrame, key, time_col: str, state_col: str, from_state, to_state,
                         out_col: str = "days") -> DataFrame:
     """Days from the first ``from_state`` row to the first ``to_state`` row per key.

@@ -15,12 +15,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyframe.operators.ledger import (
+    accumulated,
+    allocation_of_peaks,
     balance_segments,
     daily_net,
+    level_changes,
     month_end_balances,
+    month_peaks,
     running_balance,
     signed_amount,
-    window_weighted_sum,
+    trailing_changes,
 )
 from tallyframe.operators.aggs import mean_half_up
 from tallyframe.plans.registry import query
@@ -231,10 +235,10 @@ FROM p WHERE prev_closing IS NOT NULL GROUP BY month
 def allocation_prev_month_end(t):
     """Option 1: per month, the sum over customers of the previous month's
     closing balance (negative balances need nothing)."""
-    w = Window.partitionBy("customer_id").orderBy("month")
-    p = _closing(t).withColumn("prev_closing", F.lag("closing_balance").over(w))
-    return (p.where(F.col("prev_closing").isNotNull()).groupBy("month")
-            .agg(_dbl(F.sum(F.greatest(F.col("prev_closing"), F.lit(0)))).alias("allocation")))
+    monthly = _nets(t).groupBy("customer_id", F.trunc("txn_date", "month").alias("month")).agg(F.sum("net").alias("net"))
+    levels = accumulated(level_changes(monthly, "customer_id", "month", "net"), "month", "change", _end_date(t))
+    first = _nets(t).agg(F.trunc(F.min("txn_date"), "month")).scalar()  # nobody has a month before it
+    return levels.where(F.col("month") > first).select("month", _dbl("before").alias("allocation"))
 
 
 @query("allocation_realtime", oracle=f"""
@@ -252,25 +256,14 @@ GROUP BY c.month
 """)
 def allocation_realtime(t):
     """Option 3: per month, the sum over customers of the highest balance the
-    account reaches in the month (opening balance or any day's balance).
+    account reaches in the month (opening balance or any day's balance)."""
+    return allocation_of_peaks(month_peaks(_nets(t), "customer_id", "txn_date", "net"), _end_date(t)) \
+        .select("month", _dbl("allocation").alias("allocation"))
 
-    The highest day balance of a month is the opening balance plus the
-    largest running net within the month (a window over at most 31 days of
-    one account); it rides along the month spine as a monthly maximum."""
-    daily = _daily(t).withColumn("_m", F.trunc("txn_date", "month"))
-    within = Window.partitionBy("customer_id", "_m").orderBy("txn_date") \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    daily = daily.withColumn("_prefix", F.sum("daily_net").over(within))
-    spine = month_end_balances(daily, "customer_id", "txn_date", "daily_net", _end_date(t),
-                               extra_aggs={"max_prefix": F.max("_prefix")})
-    opening = F.col("closing_balance") - F.col("month_net")
-    top = F.greatest(opening, F.coalesce(opening + F.col("max_prefix"), opening), F.lit(0))
-    return spine.groupBy("month").agg(_dbl(F.sum(top)).alias("allocation"))
 
-
-def _segments(t):
-    b = running_balance(_daily(t), "customer_id", "txn_date", "daily_net", "balance")
-    return balance_segments(b, "customer_id", "txn_date", "balance", _end_date(t))
+def _nets(t) -> DataFrame:
+    """Signed amounts of dated rows, 0 for types without a sign."""
+    return _signed(t).where(F.col("txn_date").isNotNull()).withColumn("net", F.coalesce("net", F.lit(0)))
 
 
 @query("allocation_trailing_30d", oracle=f"""
@@ -298,17 +291,15 @@ def allocation_trailing_30d(t):
     balance over the 30 days ending on the month's last day (days before an
     account's first transaction count as 0; negative means need nothing).
 
-    No per-day spine: each constant-balance segment is spread over the month
-    ends whose 30-day window it overlaps, weighted by the overlapping days."""
+    Only windows that hold a transaction are summed for each account; all
+    others go on from month to month as they are."""
     end = _end_date(t)
-    seg = _segments(t)
-    month_end = F.least(F.last_day(F.col("month")), end)
-    anchors = F.sequence(F.trunc("seg_start", "month"),
-                         F.trunc(F.least(F.date_add("seg_end", 29), end), "month"), F.expr("INTERVAL 1 MONTH"))
-    w = window_weighted_sum(seg, "customer_id", "balance", F.date_sub(month_end, 29), month_end, anchors)
-    return (w.groupBy("month")
-            .agg(F.round(_dbl(F.sum(F.greatest(F.col("balance_days"), F.lit(0)))) / 30, 4)
-                 .alias("allocation")))
+    balances = running_balance(daily_net(_nets(t), "customer_id", "txn_date", "net"), "customer_id", "txn_date", "daily_net", "balance")
+    segments = balance_segments(balances, "customer_id", "txn_date", "balance", end)
+    parts = trailing_changes(segments, "customer_id", "balance", 30, end)
+    own = F.sum(F.greatest("own", F.lit(0)).cast("decimal(20,0)"))
+    levels = accumulated(parts, "month", "change", end, {"own_sum": own})
+    return levels.select("month", F.round(_dbl(F.col("level") + F.col("own_sum")) / 30, 4).alias("allocation"))
 
 
 @query("interest_simple", oracle=f"""

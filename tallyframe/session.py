@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark import SparkConf
 from pyspark.sql import SparkSession
@@ -75,6 +76,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder under the shared checkpoint folder, gone when the application ends."""
+    path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(where)  # only what exists is marked for deletion
+    fs.deleteOnExit(where)
+    return path
+
+
 def scale_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Settings sized for a cluster run over ``input_bytes`` of parquet.
 

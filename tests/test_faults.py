@@ -5,7 +5,7 @@ import random
 from types import SimpleNamespace
 
 import pytest
-from conftest import rows
+from fixtures import rows
 from pyspark.sql import functions as F
 
 from tallyframe.operators.aggs import _int_div, mean_half_up, percent_half_up, rank_percentiles
@@ -33,19 +33,15 @@ def test_means_of_huge_totals(spark):
     assert n == 33.3
 
 
-@pytest.mark.parametrize("by_digits", [False, True])
-def test_percentiles_of_decimals(spark, by_digits):
+def test_percentiles_of_decimals(spark):
     df = spark.range(1, 201).select(F.lit("g").alias("g"), (F.col("id") / 100).cast("decimal(10,2)").alias("v"))
-    out = rank_percentiles(df, "g", "v", {"median": 0.5, "p80": 0.8}, by_digits=by_digits).first()
+    out = rank_percentiles(df, "g", "v", {"median": 0.5, "p80": 0.8}).first()
     assert (out["median"], out["p80"]) == (1.0, 1.6)
 
 
-def test_digit_ranks_refuse_what_they_cannot_order(spark):
-    df = spark.createDataFrame([("g", "1")], "g string, v string")
+def test_percentiles_refuse_what_has_no_mean(spark):
     with pytest.raises(ValueError):
-        rank_percentiles(df, "g", "v", {"median": 0.5}, by_digits=True)
-    with pytest.raises(ValueError):
-        rank_percentiles(df.select("g", F.col("v").cast("decimal(30,2)").alias("v")), "g", "v", {"median": 0.5}, by_digits=True)
+        rank_percentiles(spark.createDataFrame([("g", "1")], "g string, v string"), "g", "v", {"median": 0.5})
 
 
 def test_null_dates_belong_to_no_month(spark):

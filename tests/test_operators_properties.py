@@ -5,11 +5,13 @@ import datetime as dt
 import math
 import random
 from collections import defaultdict
+from decimal import Decimal
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
 
-from tallyframe.operators.aggs import rank_percentiles
+from tallyframe.operators.aggs import rank_percentiles, rank_percentiles_from_histogram
 from tallyframe.operators.ledger import (balance_segments, daily_net, month_end_balances, running_balance,
                                          window_weighted_sum)
 from tallyframe.operators.states import (change_gaps, neighbours_in_sequence, previous_in_sequence,
@@ -154,65 +156,53 @@ def test_month_end_and_window_sums_match_daily_spine(spark, seed):
     assert got == dict(exp)
 
 
-@pytest.mark.parametrize("seed", [13, 14])
-def test_rank_percentiles_by_digits(spark, seed):
-    """The digit-level ranking equals the histogram ranking, for wide ranges,
-    negative values, a hot group, dates and timestamps."""
-    rnd = random.Random(seed)
-    vals = [rnd.choice([rnd.randint(-10**12, 10**12), rnd.randint(-5, 5), 70000, 70001, 65535, 65536])
-            for _ in range(500)]
-    rows = [(rnd.choice([1, 1, 1, 2, 3]), v, D0 + dt.timedelta(days=v % 5000),
-             dt.datetime(2020, 1, 1) + dt.timedelta(microseconds=v % 10**11)) for v in vals]
-    df = spark.createDataFrame(rows, "g int, v long, d date, t timestamp")
-    ps = {"p50": "0.5", "p80": "0.8", "p95": "0.95", "p1": "0.01"}
-    for col in ("v", "d", "t"):
-        base = df.select("g", col)
-        if col != "v":   # percentiles of dates/timestamps compared via their long keys
-            base = base.withColumn(col, F.unix_micros(F.col(col).cast("timestamp")) if col == "t"
-                                   else F.unix_date(col))
-        exp = {r["g"]: r for r in rank_percentiles(base, "g", col, ps).collect()}
-        got = {r["g"]: r for r in rank_percentiles(base, "g", col, ps, by_digits=True).collect()}
-        assert got == exp, col
-    # the value types themselves go through the key mapping
-    from tallyframe.operators.aggs import digit_ranks
-    hist = df.groupBy("g", "d").agg(F.count("*").alias("c"))
-    ranks = {(r["g"], r["d"]): (r["_lo"], r["_hi"]) for r in digit_ranks(hist, "g", "d", "c").collect()}
-    by_group = defaultdict(list)
-    for g, _, d, _ in rows:
-        by_group[g].append(d)
-    for (g, d), (lo, hi) in ranks.items():
-        vs = sorted(by_group[g])
-        assert lo == vs.index(d) + 1 and hi == len(vs) - vs[::-1].index(d)
-
-
-def test_double_key_is_the_ieee_order(spark):
-    import struct
-    from tallyframe.operators.aggs import double_key
-    rnd = random.Random(21)
-    vals = [0.0, -0.0, 1.0, -1.0, 2.0, 0.5, 3.0, 1e-310, -1e-310, 5e-324, 2.2250738585072014e-308,
-            1.7976931348623157e308, -1.7976931348623157e308, float("inf"), float("-inf")]
-    vals += [rnd.uniform(-1e6, 1e6) for _ in range(300)] + [rnd.choice([-1, 1]) * 2.0 ** rnd.randint(-1074, 1023)
-                                                              for _ in range(300)]
-    vals += [math.nextafter(2.0 ** k, 0) for k in range(-60, 60)] + [math.nextafter(2.0 ** k, 10) for k in range(-60, 60)]
-    df = spark.createDataFrame([(v,) for v in vals], "x double")
-    got = [(r[0], r[1]) for r in df.select("x", double_key(F.col("x"))).collect()]
-    for x, k in got:
-        bits = struct.unpack(">q", struct.pack(">d", abs(x)))[0]
-        assert k == (-bits if x < 0 else bits), x
-    keys = sorted(got, key=lambda t: t[1])
-    assert [x for x, _ in keys] == sorted(x for x, _ in got) or all(
-        a[0] <= b[0] for a, b in zip(keys, keys[1:]))
-
-
-def test_rank_percentiles_by_digits_doubles(spark):
-    rnd = random.Random(22)
-    rows = [(rnd.choice([1, 1, 2]), rnd.choice([rnd.gauss(0, 1e5), rnd.random(), -rnd.random(), 0.0, 1e-300]))
-            for _ in range(400)]
-    df = spark.createDataFrame(rows, "g int, v double")
-    ps = {"p50": "0.5", "p95": "0.95", "p10": "0.1"}
-    exp = {r["g"]: r for r in rank_percentiles(df, "g", "v", ps).collect()}
-    got = {r["g"]: r for r in rank_percentiles(df, "g", "v", ps, by_digits=True).collect()}
-    assert got == exp
+def _plain_percentile(values, p):
+    """Mean of the values at ranks floor(np) and ceil(np); rank 0 does not exist."""
+    v, at = sorted(values), Fraction(p) * len(values)
+    lo, hi = math.floor(at), math.ceil(at)
+    return float(v[hi - 1]) if lo == hi or lo == 0 else (float(v[lo - 1]) + float(v[hi - 1])) / 2
+
+
+@pytest.mark.parametrize("splitters", [1, 2, 7, 4096])
+@pytest.mark.parametrize("kind", ["long", "double", "decimal(30,4)", "date", "timestamp", "timestamp_ntz", "float", "int"])
+def test_rank_percentiles_by_narrowing(spark, kind, splitters):
+    """Wide and narrow ranges, many equal values, a hot group, a NULL group and NULL values, and groups of one row."""
+    rnd = random.Random(f"{kind}{splitters}")
+    values = {
+        "long": lambda: rnd.choice([rnd.randint(-10**17, 10**17), rnd.randint(-5, 5), 70000]),
+        "double": lambda: rnd.choice([rnd.gauss(0, 1e5), rnd.random(), -1e-300, 5e-324, 1e308, 0.0]),
+        "decimal(30,4)": lambda: Decimal(rnd.randint(-10**24, 10**24)) / 10000 if rnd.random() < .7 else Decimal("1.5000"),
+        "date": lambda: D0 + dt.timedelta(days=rnd.randint(-900, 900)),
+        "timestamp": lambda: dt.datetime(2020, 1, 1) + dt.timedelta(microseconds=rnd.randint(-10**15, 10**15)),
+        "timestamp_ntz": lambda: dt.datetime(1969, 1, 1) + dt.timedelta(microseconds=rnd.randint(0, 10**15)),
+        "float": lambda: float(rnd.randint(-10**6, 10**6)) / 4,
+        "int": lambda: rnd.randint(-3, 3),
+    }[kind]
+    rows = [(rnd.choice([1, 1, 1, 1, 2, 3, None]), None if rnd.random() < .03 else values()) for _ in range(400)] + [(9, values())]
+    df = spark.createDataFrame(rows, f"g int, v {kind}")
+    ps = {"p50": "0.5", "p80": "0.8", "p95": "0.95", "p1": "0.01", "p100": "1"}
+    hist = df.where("v is not null").groupBy("g", "v").agg(F.count("*").alias("c"))
+    out = rank_percentiles_from_histogram(hist, "g", "v", "c", ps, splitters)
+    number = {"date": lambda d: (d - dt.date(1970, 1, 1)).days,
+              "timestamp": lambda t: (t - dt.datetime(1970, 1, 1)) // dt.timedelta(microseconds=1)}
+    number = number.get("timestamp" if kind.startswith("timestamp") else kind, lambda v: v)
+    groups = defaultdict(list)
+    for g, v in rows:
+        if v is not None:
+            groups[g].append(number(v))
+    want = {g: tuple(_plain_percentile(v, p) for p in ps.values()) for g, v in groups.items()}
+    assert {r["g"]: tuple(r[n] for n in ps) for r in out.collect()} == want
+
+
+def test_narrowing_bounds_the_windows_and_reads_once(spark):
+    """A group of very many values: its ranked rows are a share of them, in one scan, without a job at build time."""
+    df = spark.range(200_000).select((F.col("id") % 3).alias("g"), ((F.col("id") * 7919) % 1_000_003).alias("v"))
+    out = rank_percentiles(df, "g", "v", {"median": "0.5"})
+    rows = [r["median"] for r in out.orderBy("g").collect()]
+    values = defaultdict(list)
+    for i in range(200_000):
+        values[i % 3].append(i * 7919 % 1_000_003)
+    assert rows == [_plain_percentile(values[g], "0.5") for g in range(3)]
 
 
 @pytest.mark.parametrize("seed", [15])
