@@ -109,7 +109,7 @@ def rank_percentiles(df: DataFrame, group_cols, value_col: str, percentiles: Map
     return rank_percentiles_from_histogram(hist, group_cols, value_col, "_cnt", percentiles)
 
 
-SPLITTERS = 4096
+SPLITTERS = 1024
 
 
 def _bucket(value: Column, splitters: Column, size: int) -> Column:
@@ -151,7 +151,7 @@ def rank_percentiles_from_histogram(hist: DataFrame, group_cols, value_col: str,
     # A null group is a group: (value, is NULL) pairs join as plain equality.
     keys = {f"_g{i}": F.col(c) for i, c in enumerate(group_cols)}
     rows = hist.select(*[c.alias(k) for k, c in keys.items()], value.alias("_v"), F.col(count_col).alias("_c"))
-    shares = [(i + 1) / (splitters + 1) for i in range(splitters)]
+    shares = F.expr("array(" + ",".join(f"{(i + 1) / (splitters + 1)!r}D" for i in range(splitters)) + ")")
     # the count takes part, so that this branch reads what the others read
     cuts = rows.agg(F.array_sort(F.array_distinct(F.array_compact(F.percentile_approx("_v", shares, 2 * splitters)))).alias("cuts"), F.max("_c").alias("c"))
     cuts = cuts.select(F.struct("cuts", "c")).scalar()["cuts"]

@@ -1,5 +1,8 @@
-"""Structured Streaming forms of the ledger balances (the "real-time" option)."""
+"""Structured Streaming forms: ledger balances and allocations (the "real-time" option), and the validated append."""
 
-from tallyframe.streaming.balances import live_balances, daily_net_stream, ledger_stream
+from tallyframe.streaming.allocation import month_peaks_stream
+from tallyframe.streaming.append import append_verdicts, dropped_late, validated_stream
+from tallyframe.streaming.balances import daily_net_stream, ledger_stream, live_balances, start
 
-__all__ = ["live_balances", "daily_net_stream", "ledger_stream"]
+__all__ = ["month_peaks_stream", "append_verdicts", "dropped_late", "validated_stream", "daily_net_stream", "ledger_stream",
+           "live_balances", "start"]

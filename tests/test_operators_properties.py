@@ -12,10 +12,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyframe.operators.aggs import rank_percentiles, rank_percentiles_from_histogram
-from tallyframe.operators.ledger import (balance_segments, daily_net, month_end_balances, running_balance,
+from tallyframe.operators.distinct import bitmap_counts, distinct_bitmaps, merged_bitmaps
+from tallyframe.operators.ledger import (accumulated, allocation_of_peaks, balance_segments, daily_net, level_changes,
+                                         month_end_balances, month_peaks, running_balance, trailing_changes,
                                          window_weighted_sum)
 from tallyframe.operators.states import (change_gaps, neighbours_in_sequence, previous_in_sequence,
-                                         sequence_number)
+                                         sequence_number, state_calendar)
 
 D0 = dt.date(2020, 1, 1)
 
@@ -163,7 +165,7 @@ def _plain_percentile(values, p):
     return float(v[hi - 1]) if lo == hi or lo == 0 else (float(v[lo - 1]) + float(v[hi - 1])) / 2
 
 
-@pytest.mark.parametrize("splitters", [1, 2, 7, 4096])
+@pytest.mark.parametrize("splitters", [1, 2, 7, 1024])
 @pytest.mark.parametrize("kind", ["long", "double", "decimal(30,4)", "date", "timestamp", "timestamp_ntz", "float", "int"])
 def test_rank_percentiles_by_narrowing(spark, kind, splitters):
     """Wide and narrow ranges, many equal values, a hot group, a NULL group and NULL values, and groups of one row."""
@@ -239,3 +241,63 @@ def test_trailing_30_day_balance_days_match_daily_spine(spark, seed):
                 exp[(c, m)] = tot
             m = nxt
     assert got == dict(exp)
+
+
+def test_distinct_bitmaps_roll_up(spark):
+    rnd = random.Random(3)
+    rows = [(rnd.choice(["a", "b", None]), rnd.choice(["x", "y"]), rnd.choice([rnd.randint(-70_000, 70_000), 0, 32768, None])) for _ in range(900)]
+    df = spark.createDataFrame(rows, "g string, h string, i long")
+    fine = distinct_bitmaps(df, ["g", "h"], "i")
+    got = {(r["g"], r["h"]): r["n"] for r in bitmap_counts(fine, ["g", "h"], "n").collect()}
+    assert got == {(g, h): len({i for a, b, i in rows if (a, b) == (g, h) and i is not None}) for g, h in got} and len(got) == 6
+    coarse = {r["g"]: r["n"] for r in bitmap_counts(merged_bitmaps(fine, "g"), "g", "n").collect()}
+    assert coarse == {g: len({i for a, _, i in rows if a == g and i is not None}) for g in ("a", "b", None)}
+
+
+@pytest.mark.parametrize("seed", [31, 32])
+def test_state_calendar_matches_a_daily_scan(spark, seed):
+    rows = _history(seed, n=300)
+    df = spark.createDataFrame(rows, "k int, d date, i int, s string").withColumn("t", F.col("d").cast("timestamp_ntz"))
+    got = {(r["day"], r["s"]): r["n"] for r in state_calendar(df, "k", "t", "s", ["i"], "n").collect()}
+    days = [r[1] for r in rows if r[1]]
+    want, day = defaultdict(int), min(days)
+    while day <= max(days):
+        for rs in _by_key(rows).values():
+            held = [r for r in rs if r[1] and r[1] <= day]
+            if held:
+                want[(day, held[-1][3])] += 1
+        day += dt.timedelta(days=1)
+    assert got == dict(want)
+
+
+@pytest.mark.parametrize("seed", [41, 42, 43])
+def test_change_events_match_accounts_times_months(spark, seed):
+    """The three allocations by change events, against all days of all accounts."""
+    rnd = random.Random(seed)
+    rows = [(rnd.choice([1, 1, 2, 3, 4, 5]), D0 + dt.timedelta(days=int(rnd.random() ** 2 * 500)), rnd.randint(-50, 50)) for _ in range(60)]
+    df = spark.createDataFrame(rows, "c int, d date, amt long")
+    end = max(r[1] for r in rows) + dt.timedelta(days=rnd.choice([0, 3, 70]))
+    bal = {}
+    for c in {r[0] for r in rows}:
+        day, b = min(r[1] for r in rows if r[0] == c), 0
+        while day <= end:
+            b += sum(r[2] for r in rows if r[:2] == (c, day))
+            bal[c, day] = b
+            day += dt.timedelta(days=1)
+    months = sorted({day.replace(day=1) for _, day in bal})
+    last = lambda m: min(end, (m.replace(day=28) + dt.timedelta(days=4)).replace(day=1) - dt.timedelta(days=1))
+    accounts = {c for c, _ in bal}
+    monthly = df.groupBy("c", F.trunc("d", "month").alias("month")).agg(F.sum("amt").alias("net"))
+    levels = accumulated(level_changes(monthly, "c", "month", "net"), "month", "change", F.lit(end)).collect()
+    assert {r["month"]: int(r["level"]) for r in levels} == {m: sum(max(bal.get((c, last(m)), 0), 0) for c in accounts) for m in months}
+    peaks = allocation_of_peaks(month_peaks(df, "c", "d", "amt"), F.lit(end)).collect()
+    opening = lambda c, m: bal.get((c, m - dt.timedelta(days=1)), 0)
+    assert {r["month"]: int(r["allocation"]) for r in peaks} == {
+        m: sum(max(0, opening(c, m), *[b for (a, d), b in bal.items() if a == c and m <= d <= last(m)]) for c in accounts) for m in months}
+    seg = balance_segments(running_balance(daily_net(df, "c", "d", "amt"), "c", "d", "daily_net", "b"), "c", "d", "b", F.lit(end))
+    for width in (30, 7):
+        parts = trailing_changes(seg, "c", "b", width, F.lit(end))
+        out = accumulated(parts, "month", "change", F.lit(end), {"own": F.sum(F.greatest("own", F.lit(0)))}).collect()
+        got = {r["month"]: int(r["level"]) + (r["own"] or 0) for r in out}
+        want = {m: sum(max(0, sum(bal.get((c, last(m) - dt.timedelta(days=k)), 0) for k in range(width))) for c in accounts) for m in months}
+        assert {m: got.get(m, 0) for m in months} == want

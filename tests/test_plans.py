@@ -31,3 +31,55 @@ def test_plan_shape(spark, name):
     for table, n_cols in (("lineitem", 11), ("orders", 6), ("events", 6)):
         for m in re.finditer(rf"FileScan parquet \[([^\]]*)\][^\n]*{table}\.parquet", plan):
             assert len(m.group(1).split(",")) < n_cols, f"{name}: reads all of {table}"
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for name in names:
+        spark.conf.set(name, "-1")
+    yield
+    for name in names:
+        spark.conf.unset(name)
+
+
+def _exchanges(df):
+    return re.findall(r"[ +-]Exchange ([^\n]*)", _plan(df).split("Initial Plan")[0])
+
+
+@pytest.mark.parametrize("name", ["order_change_labels", "order_word_lists"])
+def test_words_are_spread_out_behind_the_last_exchange(spark, no_broadcast, name):
+    df = E.queries()[name](spark, SF)
+    assert len(_exchanges(df)) <= 4
+
+
+def test_bucketed_tables_meet_where_they_lie(spark, no_broadcast):
+    keys = _exchanges(E.queries()["order_detail_bucketed"](spark, SF))
+    assert keys and not any("orderkey" in k or "order_id" in k for k in keys)
+
+
+def _jobs(spark, run):
+    """How many jobs ``run`` starts."""
+    before = spark.sparkContext.range(1).count() and max(spark.sparkContext.statusTracker().getJobIdsForGroup(None), default=0)
+    run()
+    spark.sparkContext.range(1).count()
+    return max(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) - before - 1
+
+
+@pytest.mark.parametrize("name", ["payment_schedule", "state_change_gap_percentiles", "allocation_trailing_30d"])
+def test_building_starts_no_job(spark, name):
+    assert _jobs(spark, lambda: E.queries()[name](spark, SF)) == 0
+
+
+def test_payments_are_numbered_in_one_read(spark, no_broadcast):
+    df = E.queries()["payment_schedule"](spark, SF)
+    df.collect()
+    plan = _plan(df).split("Initial Plan")[0]
+    assert "ReusedExchange" in plan and len(re.findall("FileScan parquet", plan)) == 2  # the neighbours' rows and edges
+
+
+def test_no_stage_holds_accounts_times_months(spark):
+    """No per-account calendar: the only sequences made are those of the totals and of the month ends near a change."""
+    for name in ("allocation_prev_month_end", "allocation_realtime"):
+        plan = E.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("explode(sequence(") == 1 and "_all" in plan, name

@@ -1,10 +1,12 @@
 import shutil
+import uuid
 
 import pytest
 
 from tallyframe.streaming.balances import daily_net_stream, ledger_stream, live_balances, start
 
 SF = "/root/testdata/sf0.001"
+RUN = uuid.uuid4().hex  # the shared folder may hold the streams of an earlier run
 
 
 @pytest.fixture(scope="module")
@@ -100,7 +102,7 @@ def test_daily_net_restarts_from_checkpoint(spark, tmp_path):
         s = ledger_stream(spark, str(land), schema, account="o_custkey", when="o_orderdate",
                           kind="o_orderstatus", amount="o_totalprice", signs={"F": 1, "O": -1, "P": -1})
         q = start(daily_net_stream(s, "1 day").select("account", F.col("day.start").alias("day"), "daily_net"),
-                  "daily_net_restart", "append", "parquet", {"path": str(out)}, run_id=tmp_path.name)
+                  "daily_net_restart", "append", "parquet", {"path": str(out)}, run_id=RUN)
         q.processAllAvailable()
         return q
 
@@ -133,7 +135,7 @@ def test_live_balances_snapshots_survive_a_restart(spark, tmp_path):
         pq.write_table(tbl.filter(part), land / f"p{i}.parquet")
         s = ledger_stream(spark, str(land), schema, account="o_custkey", when="o_orderdate",
                           kind="o_orderstatus", amount="o_totalprice", signs={"F": 1, "O": -1, "P": -1})
-        q = start(live_balances(s), "balance_snapshots", "update", snapshots(out, "account"), run_id=tmp_path.name)
+        q = start(live_balances(s), "balance_snapshots", "update", snapshots(out, "account"), run_id=RUN)
         q.processAllAvailable()
         q.stop()
     got = {r["account"]: r["n_txn"] for r in spark.read.parquet(f"{out}/1").collect()}
