@@ -2,7 +2,7 @@
 
 from tallyframe.operators.aggs import (
     arg_max_ties, counted_items, counted_items_by_kind, mean_half_up, ordered_list,
-    percent_half_up, rank_percentiles, rank_percentiles_from_histogram, rate, share_of_total, top_value,
+    ordered_list_in_slices, percent_half_up, rank_percentiles, rank_percentiles_from_histogram, rate, share_of_total, top_value,
 )
 from tallyframe.operators.append import (
     accepted, append_batch, appended, manifests, read_batches, rejected, validate_candidates, validated_append,
@@ -23,6 +23,7 @@ from tallyframe.operators.states import (
 
 __all__ = [
     "arg_max_ties", "counted_items", "counted_items_by_kind", "mean_half_up", "ordered_list",
+    "ordered_list_in_slices",
     "percent_half_up", "rank_percentiles", "rank_percentiles_from_histogram", "rate", "share_of_total",
     "top_value", "accepted", "append_batch", "appended", "manifests", "read_batches", "rejected", "validate_candidates",
     "validated_append", "payment_schedule",

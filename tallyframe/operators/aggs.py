@@ -55,6 +55,24 @@ def ordered_list(df: DataFrame, group_cols, item_col: str, order_col: str | None
     return df.groupBy(*group_cols).agg(F.array_join(F.transform(pairs, lambda s: s["i"]), sep).alias(out_col))
 
 
+def ordered_list_in_slices(df: DataFrame, group_cols, item_col: str, order_col: str | None = None, sep: str = ",",
+                           out_col: str = "items", slices: int = 200) -> DataFrame:
+    """``ordered_list`` for groups that may hold a large share of all rows.
+
+    The rows are dealt by ranges of (group, order), so a slice holds about
+    1/``slices`` of all rows wherever they come from.  Each slice joins its
+    own items, and a group's texts are then put one behind the other: no task
+    holds more rows than a slice, and the last step only the list itself,
+    which, being one value, can't pass 2 GB.  Equal places in the order go by
+    the item.
+    """
+    group_cols = _cols(group_cols)
+    order_col = order_col or item_col
+    dealt = df.repartitionByRange(slices, *group_cols, order_col).withColumn("_slice", F.spark_partition_id())
+    parts = ordered_list(dealt, [*group_cols, "_slice"], item_col, order_col, sep, "_part")
+    return ordered_list(parts, group_cols, "_part", "_slice", sep, out_col)
+
+
 def counted_items(df: DataFrame, group_cols, item_col: str, sep: str = ",",
                   out_col: str = "items") -> DataFrame:
     """Per group the distinct items, 'nxitem' when an item occurs n > 1 times,

@@ -23,7 +23,7 @@ def unique_nodes(nodes: DataFrame) -> DataFrame:
 
 def nodes_per_region(nodes: DataFrame, regions: DataFrame) -> DataFrame:
     return (nodes.join(regions, "region_id").groupBy("region_id", "region_name")
-            .agg(F.count_distinct("node_id").alias("number_of_node")))
+            .agg(F.count_distinct("node_id").alias("distinct_nodes")))
 
 
 def customers_per_region(nodes: DataFrame, regions: DataFrame) -> DataFrame:
@@ -34,7 +34,7 @@ def customers_per_region(nodes: DataFrame, regions: DataFrame) -> DataFrame:
 def reallocation_gaps(nodes: DataFrame) -> DataFrame:
     """Rows following a node change with the days since the previous row.
 
-    Rows are ordered by start date per customer (split by month, so a
+    Rows are ordered by start date per customer (split by day, so a
     customer with a very long history is not one task)."""
     return change_gaps(nodes, "customer_id", "start_date", "node_id",
                        split=F.to_date("start_date"), out_col="diff")
@@ -150,3 +150,21 @@ def daily_interest_per_month(txns: DataFrame, rate: float = 0.06) -> DataFrame:
     anchors = F.sequence(F.trunc("seg_start", "month"), F.trunc("seg_end", "month"), F.expr("INTERVAL 1 MONTH"))
     w = window_weighted_sum(seg, "customer_id", "balance", F.col("month"), F.least(F.last_day("month"), end), anchors)
     return w.groupBy("month").agg((F.sum("balance_days") * rate / 365).alias("interest"))
+
+
+def compound_interest_per_month(txns: DataFrame, rate: float = 0.06) -> DataFrame:
+    """Per month: daily compound interest (each end-of-day balance, interest included, grows by rate/365).
+
+    A net of day d has grown to net · g^(t+1-d) after day t, so with the nets discounted to the first day the balance of
+    all customers is a running sum over months; the interest is what the balance gained beside the nets."""
+    g = 1 + rate / 365
+    nets = _ledger(txns).where(F.col("txn_date").isNotNull())
+    first, end = nets.agg(F.min("txn_date")).scalar(), _end(txns)
+    nets = nets.withColumns({"_all": F.xxhash64("customer_id").bitwiseAND(F.lit(0).cast("long")),  # one account
+                             "_then": F.col("net") * F.pow(F.lit(g), -F.datediff("txn_date", first))})
+    months = month_end_balances(nets, "_all", "txn_date", "net", end, extra_aggs={"then": F.sum("_then")})
+    w = Window.partitionBy("_all").orderBy("month")
+    grown = F.pow(F.lit(g), F.datediff(F.least(F.last_day("month"), end), first) + 1)
+    months = months.withColumn("_sum", F.sum(F.coalesce("then", F.lit(0.0))).over(w)).withColumn("_close", F.col("_sum") * grown)
+    interest = F.col("_close") - F.coalesce(F.lag("_close").over(w), F.lit(0.0)) - F.col("month_net")
+    return months.withColumn("interest", interest).select("month", "interest")

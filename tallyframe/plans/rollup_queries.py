@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tallyframe.operators.aggs import ordered_list_in_slices
 from tallyframe.operators.distinct import bitmap_counts, distinct_bitmaps, merged_bitmaps
 from tallyframe.operators.states import state_calendar
 from tallyframe.plans.delivery_queries import order_detail
@@ -84,6 +85,14 @@ def part_names_any_case(t):
     return grouped.join(economy, "name").withColumn("name", F.collate(F.lower("name"), "UTF8_BINARY"))
 
 
+@query("customer_names_by_segment", oracle="""
+SELECT c_mktsegment, string_agg(c_name, ', ' ORDER BY c_name) AS names FROM customer GROUP BY c_mktsegment
+""")
+def customer_names_by_segment(t):
+    """All customers of a segment in one ordered list: few, very large groups, put together from slices."""
+    return ordered_list_in_slices(t.customer.select("c_mktsegment", "c_name"), "c_mktsegment", "c_name", sep=", ", out_col="names", slices=32)
+
+
 BUCKETS = 16
 
 

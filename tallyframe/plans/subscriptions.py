@@ -96,7 +96,7 @@ def plan_breakdown_as_of(subs: DataFrame, plans: DataFrame, day=dt.date(2020, 12
 def annual_upgrades_in_year(subs: DataFrame, plans: DataFrame, year: int = 2020) -> DataFrame:
     return (subs.where(in_year("start_date", year))
             .join(plans.where(F.col("plan_name").ilike("%annual%")).select("plan_id"), "plan_id")
-            .agg(F.count("*").alias("number_customer_upgraded_annual")))
+            .agg(F.count("*").alias("upgrades")))
 
 
 def _trial_to_annual(subs: DataFrame) -> DataFrame:

@@ -4,7 +4,8 @@
 keyed by account (state = one running sum per account), emitted in update
 mode.  ``daily_net_stream``: per account and day, event-time windows with a
 watermark, emitted in append mode once a day can no longer change; late rows
-beyond the watermark are dropped by Spark, as for any windowed aggregate.
+beyond the watermark are dropped by Spark, as for any windowed aggregate, and
+counted (``streaming.append.dropped_late``).
 Both are partitioned by the account key across the state store, and
 checkpointed to the shared checkpoint folder for recovery after failures.
 """
@@ -49,17 +50,28 @@ def daily_net_stream(stream: DataFrame, lateness: str = "2 days") -> DataFrame:
 
 
 def snapshots(path: str, keys) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` sink for update mode: each batch writes the whole table of latest rows per key to
-    ``path/<batch>``.  A batch that runs again after a failure reads the same predecessor and overwrites its own
-    folder, so the result is as if it had run once."""
+    """A ``foreachBatch`` sink for update mode: each batch writes the table of latest rows per key to ``path/<batch>``
+    and takes away the last but one before it.
+
+    A batch that runs again after a failure reads the same predecessor and overwrites its own folder, so the result is
+    as if it had run once.  The first batch of a new checkpoint refuses a folder that already holds tables: it would
+    start an empty table over them.
+    """
     keys = [keys] if isinstance(keys, str) else list(keys)
 
     def upsert(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
         latest = batch
         if number > 0:
-            before = batch.sparkSession.read.parquet(f"{path}/{number - 1}")
+            before = spark.read.parquet(f"{path}/{number - 1}")
             latest = before.join(batch, keys, "left_anti").unionByName(batch)
+        elif fs.exists(folder) and any(s.getPath().getName() != "0" for s in fs.listStatus(folder)):
+            raise ValueError(f"{path} holds the tables of another run, whose checkpoint is not this one's")
         latest.write.mode("overwrite").parquet(f"{path}/{number}")
+        if number > 1:
+            fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{number - 2}"), True)
 
     return upsert
 

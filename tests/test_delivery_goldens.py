@@ -7,6 +7,7 @@ import pytest
 from fixtures import (CUSTOMER_ORDERS, PIZZA_NAMES, PIZZA_RECIPES, PIZZA_TOPPINGS, RUNNER_ORDERS, RUNNERS,
                       load, rows)
 
+from tallyframe.operators.append import appended
 from tallyframe.plans import delivery as D
 from tallyframe.sources.literal import frame
 
@@ -118,8 +119,8 @@ def test_ratings(spark, shop):
 
 def test_rate_orders_procedure(spark, shop, tmp_path):
     target = str(tmp_path / "order_rating")
-    rej = D.rate_orders(shop, frame(spark, "order_id int, rating int", [(8, 4)]), target)
-    assert rej.count() == 0
-    rej = D.rate_orders(shop, frame(spark, "order_id int, rating int", [(9, 5)]), target)
-    assert rows(rej, "order_id", "reject_reason") == [(9, "parent not eligible")]
-    assert rows(spark.read.parquet(target)) == [(8, 2, 4)]
+    rate = lambda order, rating, call: D.rate_orders(shop, frame(spark, "order_id int, rating int", [(order, rating)]), target, call)
+    assert rate(8, 4, "first").count() == 0
+    assert rows(rate(9, 5, "second"), "order_id", "reject_reason") == [(9, "parent not eligible")]
+    assert rate(8, 4, "first").count() == 0  # the first call again
+    assert rows(appended(spark, target, ["order_id", "runner_id", "rating"])) == [(8, 2, 4)]

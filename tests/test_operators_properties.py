@@ -11,7 +11,8 @@ from fractions import Fraction
 import pytest
 from pyspark.sql import functions as F
 
-from tallyframe.operators.aggs import rank_percentiles, rank_percentiles_from_histogram
+from tallyframe.operators.aggs import (ordered_list, ordered_list_in_slices, rank_percentiles,
+                                       rank_percentiles_from_histogram)
 from tallyframe.operators.distinct import bitmap_counts, distinct_bitmaps, merged_bitmaps
 from tallyframe.operators.ledger import (accumulated, allocation_of_peaks, balance_segments, daily_net, level_changes,
                                          month_end_balances, month_peaks, running_balance, trailing_changes,
@@ -301,3 +302,15 @@ def test_change_events_match_accounts_times_months(spark, seed):
         got = {r["month"]: int(r["level"]) + (r["own"] or 0) for r in out}
         want = {m: sum(max(0, sum(bal.get((c, last(m) - dt.timedelta(days=k)), 0) for k in range(width))) for c in accounts) for m in months}
         assert {m: got.get(m, 0) for m in months} == want
+
+
+def test_ordered_list_in_slices_equals_one_list(spark):
+    rnd = random.Random(51)
+    rows = [(rnd.choice(["hot", "hot", "a", None]), rnd.randint(0, 50), f"i{rnd.randint(0, 300)}") for _ in range(700)]
+    df = spark.createDataFrame(rows, "g string, o int, i string").repartition(5)
+    want = {r["g"]: r["items"] for r in ordered_list(df, "g", "i", "o", "; ").collect()}
+    for slices in (1, 4, 60):
+        out = ordered_list_in_slices(df, "g", "i", "o", "; ", slices=slices)
+        assert {r["g"]: r["items"] for r in out.collect()} == want
+    dealt = df.repartitionByRange(20, "g", "o").groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in dealt) < 700 / 20 * 2.5  # the hot group is no task of its own

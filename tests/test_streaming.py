@@ -141,3 +141,17 @@ def test_live_balances_snapshots_survive_a_restart(spark, tmp_path):
     got = {r["account"]: r["n_txn"] for r in spark.read.parquet(f"{out}/1").collect()}
     want = {r[0]: r[1] for r in spark.read.parquet(f"{SF}/orders.parquet").groupBy("o_custkey").agg(F.count("*")).collect()}
     assert got == want
+
+
+def test_snapshots_refuse_the_tables_of_another_run(spark, tmp_path):
+    from tallyframe.streaming.balances import snapshots
+    out = str(tmp_path / "out")
+    table = lambda k: spark.createDataFrame([(k, 1)], "account int, n int")
+    sink = snapshots(out, "account")
+    for number in range(4):
+        sink(table(number), number)
+    sink(table(3), 3)  # a batch that runs again
+    assert sorted(r["account"] for r in spark.read.parquet(f"{out}/3").collect()) == [0, 1, 2, 3]
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == ["2", "3"]
+    with pytest.raises(ValueError):
+        snapshots(out, "account")(table(9), 0)

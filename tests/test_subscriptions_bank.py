@@ -92,3 +92,20 @@ def test_more_delivery_views(spark):
     assert per_runner == pytest.approx({1: 14.0, 2: 59 / 3, 3: 10.0})
     speeds = {o: v for _, o, v in rows(D.speed_per_delivery(shop))}
     assert speeds[1] == pytest.approx(37.5) and len(speeds) == 8
+
+
+def test_compound_interest_grows_day_by_day(spark):
+    more = [(2, "2020-01-31", "deposit", 100), (2, "2020-02-10", "withdrawal", 40)]
+    txns = load(spark, (TRANSACTIONS_1[0], [*TRANSACTIONS_1[1], *more]))
+    nets, g = {}, 1 + 0.06 / 365
+    for r in txns.collect():
+        nets.setdefault(r["customer_id"], {}).setdefault(r["txn_date"], 0)
+        nets[r["customer_id"]][r["txn_date"]] += r["txn_amount"] * (1 if r["txn_type"] == "deposit" else -1)
+    want = {}
+    for days in nets.values():
+        day, b = min(days), 0.0
+        while day <= dt.date(2020, 3, 31):
+            b += days.get(day, 0)
+            want[day.replace(day=1)] = want.get(day.replace(day=1), 0) + b * (g - 1)
+            b, day = b * g, day + dt.timedelta(days=1)
+    assert {r["month"]: r["interest"] for r in B.compound_interest_per_month(txns).collect()} == pytest.approx(want)
