@@ -5,18 +5,23 @@ shards by a hash; each shard, a bounded number of narrow rows, is packed on its
 own.  Within a shard, longest piece first:
 
 * best fit: the piece goes to the open bin with the least room that still holds it;
-* opening: a new bin gets the permitted capacity whose cost per token, over what
-  the remaining pieces can fill it with, is least;
+* opening: for each permitted capacity a bin is filled on trial with the longest
+  pieces still waiting that fit, and the one whose cost per word, after downsizing,
+  is least is opened;
 * downsizing: at the end each bin shrinks to the smallest permitted capacity that
   holds its contents.
 
+What a trial promises other bins may take, so the shard is also packed with each
+capacity as the one to open, and of all these plans the cheapest stays: mixing
+lengths is never dearer than any single one.
+
 Nothing is dropped and no text is moved: the result says which words of which
 document make up which sequence.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
 
 import numpy as np
 import pandas as pd
@@ -37,29 +42,59 @@ def cost(capacity: np.ndarray | int):
     return capacity + OVERHEAD + ATTENTION * capacity * capacity
 
 
-def pack(lengths: np.ndarray, capacities: tuple[int, ...] = CAPACITIES) -> tuple[np.ndarray, np.ndarray]:
-    """(bin of each piece, capacity of each bin) for positive ``lengths`` of at most the largest capacity."""
-    caps = sorted(capacities)
-    order = np.argsort(-lengths, kind="stable")
-    waiting = int(lengths.sum())  # words not yet packed
-    owner = np.empty(len(lengths), np.int64)
+def _trial(piece: int, capacity: int, shorter: list[int], waiting: int) -> int:
+    """Words in a bin of ``capacity`` that opens with ``piece`` and is filled, the longest that fits first, from the first
+    ``waiting`` of ``shorter``, lengths in ascending order."""
+    free, last = capacity - piece, waiting
+    while free and (last := bisect_right(shorter, free, 0, last)):
+        last -= 1
+        free -= shorter[last]
+    return capacity - free
+
+
+def _plan(lengths: list[int], caps: list[int], only: int | None = None) -> tuple[list[int], list[int]]:
+    """(bin of each piece, words in each bin) for lengths in descending order.  ``only``: the capacity of all bins but those
+    of pieces that it can't hold."""
+    ascending = lengths[::-1]
     used: list[int] = []
+    owner: list[int] = []
     room: list[tuple[int, int]] = []  # (room, bin) of open bins, ascending
-    for i in order:
-        n = int(lengths[i])
+    for i, n in enumerate(lengths):
         at = bisect_left(room, (n, -1))
         if at < len(room):
             free, b = room.pop(at)
         else:
-            # a bin is filled by what waits, as far as that goes: words at the price of the whole bin
-            free = min((c for c in caps if c >= n), key=lambda c: (cost(c) / min(c, waiting), c))
+            fitting = [c for c in caps if c >= n]
+            if only is not None:
+                free = max(only, fitting[0])
+            else:
+                fills = [(_trial(n, c, ascending, len(lengths) - i - 1), c) for c in fitting]
+                free = min(fills, key=lambda f: (cost(caps[bisect_left(caps, f[0])]) / f[0], f[1]))[1]
             b = len(used)
             used.append(0)
-        owner[i], used[b], waiting = b, used[b] + n, waiting - n
+        owner.append(b)
+        used[b] += n
         if free > n:
             insort(room, (free - n, b))
-    sizes = np.array(caps, np.int64)
-    return owner, sizes[np.searchsorted(sizes, np.array(used, np.int64))]
+    return owner, used
+
+
+def pack(lengths: np.ndarray, capacities: tuple[int, ...] = CAPACITIES) -> tuple[np.ndarray, np.ndarray]:
+    """(bin of each piece, capacity of each bin) for positive ``lengths`` of at most the largest capacity: the cheapest of
+    the plans, the one that opens by trial first of equals."""
+    caps = sorted(capacities)
+    order = np.argsort(-lengths, kind="stable")
+    descending, sizes = lengths[order].tolist(), np.array(caps, np.int64)
+    best = None
+    for only in (None, *caps):
+        found, used = _plan(descending, caps, only)
+        capacity = sizes[np.searchsorted(sizes, np.array(used, np.int64))]
+        total = float(cost(capacity).sum())
+        if best is None or total < best[0]:
+            best = total, found, capacity
+    owner = np.empty(len(lengths), np.int64)
+    owner[order] = best[1]
+    return owner, best[2]
 
 
 def _pack_shard(capacities: tuple[int, ...]):
