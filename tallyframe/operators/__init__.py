@@ -10,7 +10,7 @@ from tallyframe.operators.append import (
 from tallyframe.operators.billing import payment_schedule
 from tallyframe.operators.distinct import bitmap_counts, distinct_bitmaps, merged_bitmaps
 from tallyframe.operators.joins import (
-    explode_array, explode_membership, full_outer_merge, member_join,
+    explode_array, explode_membership, full_outer_merge, member_join, salted_full_outer_merge,
 )
 from tallyframe.operators.ledger import (
     accumulated, allocation_of_peaks, balance_segments, daily_net, level_changes, month_end_balances, month_peaks,
@@ -27,7 +27,7 @@ __all__ = [
     "percent_half_up", "rank_percentiles", "rank_percentiles_from_histogram", "rate", "share_of_total",
     "top_value", "accepted", "append_batch", "appended", "manifests", "read_batches", "rejected", "validate_candidates",
     "validated_append", "payment_schedule",
-    "explode_array", "explode_membership", "full_outer_merge",
+    "explode_array", "explode_membership", "full_outer_merge", "salted_full_outer_merge",
     "accumulated", "allocation_of_peaks", "level_changes", "month_peaks", "trailing_changes",
     "member_join", "balance_segments", "daily_net", "month_end_balances", "running_balance", "signed_amount",
     "window_weighted_sum", "as_of_state", "change_gaps", "first_to_first_days", "neighbours_in_sequence",

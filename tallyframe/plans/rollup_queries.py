@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.operators.aggs import ordered_list_in_slices
 from tallyframe.operators.distinct import bitmap_counts, distinct_bitmaps, merged_bitmaps
+from tallyframe.operators.joins import salted_full_outer_merge
 from tallyframe.operators.states import state_calendar
 from tallyframe.plans.delivery_queries import order_detail
 from tallyframe.plans.dims import nation_dim
@@ -93,6 +94,24 @@ def customer_names_by_segment(t):
     return ordered_list_in_slices(t.customer.select("c_mktsegment", "c_name"), "c_mktsegment", "c_name", sep=", ", out_col="names", slices=32)
 
 
+@query("views_beside_purchases", oracle="""
+SELECT COALESCE(v.user_id, p.user_id) AS user_id, COUNT(*) AS n_rows, COUNT(DISTINCT v.event_id) AS n_views,
+       COUNT(DISTINCT p.event_id) AS n_purchases, COUNT(*) FILTER (v.ts < p.ts) AS n_before
+FROM (SELECT * FROM events WHERE event_type = 'view') v
+FULL OUTER JOIN (SELECT * FROM events WHERE event_type = 'purchase') p ON v.user_id = p.user_id
+GROUP BY 1
+""")
+def views_beside_purchases(t):
+    """Every view beside every purchase of its user, users with only one kind included; busy users are split."""
+    def kind(name: str, short: str):
+        return t.events.where(F.col("event_type") == name).select("user_id", F.col("event_id").alias(f"{short}_id"), F.col("ts").alias(f"{short}_ts"))
+
+    merged = salted_full_outer_merge(kind("view", "v"), kind("purchase", "p"), "user_id", hot_share=0.005)
+    return merged.groupBy("user_id").agg(
+        F.count("*").alias("n_rows"), F.count_distinct("v_id").alias("n_views"), F.count_distinct("p_id").alias("n_purchases"),
+        F.count_if(F.col("v_ts") < F.col("p_ts")).alias("n_before"))
+
+
 BUCKETS = 16
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tallyframe.operators.aggs import (ordered_list, ordered_list_in_slices, rank_percentiles,
                                        rank_percentiles_from_histogram)
 from tallyframe.operators.distinct import bitmap_counts, distinct_bitmaps, merged_bitmaps
+from tallyframe.operators.joins import salted_full_outer_merge
 from tallyframe.operators.ledger import (accumulated, allocation_of_peaks, balance_segments, daily_net, level_changes,
                                          month_end_balances, month_peaks, running_balance, trailing_changes,
                                          window_weighted_sum)
@@ -314,3 +315,28 @@ def test_ordered_list_in_slices_equals_one_list(spark):
         assert {r["g"]: r["items"] for r in out.collect()} == want
     dealt = df.repartitionByRange(20, "g", "o").groupBy(F.spark_partition_id()).count().collect()
     assert max(r["count"] for r in dealt) < 700 / 20 * 2.5  # the hot group is no task of its own
+
+
+@pytest.mark.parametrize("shares", [(0.4, 0.4), (0.4, 0.0), (0.0, 0.4), (0.0, 0.0)])
+def test_salted_full_outer_merge_equals_the_plain_join(spark, shares):
+    rnd = random.Random(str(shares))
+    side = lambda share, n, name: [(*((1, "hot") if rnd.random() < share else (rnd.randint(2, 40) if rnd.random() < .9 else None, "k")), f"{name}{i}")
+                                   for i in range(n)]
+    left = spark.createDataFrame(side(shares[0], 150, "l"), "a int, b string, x string")
+    right = spark.createDataFrame(side(shares[1], 120, "r"), "a int, b string, y string")
+    want = sorted(map(str, left.join(right, ["a", "b"], "full_outer").collect()))
+    for hot_share in (0.02, 0.2, 2.0):
+        assert sorted(map(str, salted_full_outer_merge(left, right, ["a", "b"], hot_share).collect())) == want
+    none = left.where("false")
+    assert salted_full_outer_merge(none, right, ["a", "b"]).count() == right.count()
+    assert salted_full_outer_merge(none, none.withColumnRenamed("x", "y"), ["a", "b"]).count() == 0
+
+
+def test_salted_full_outer_merge_splits_a_hot_key(spark):
+    """A third of both sides: the cells of the grid are alike."""
+    df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"), "id")
+    merged = salted_full_outer_merge(df.withColumnRenamed("id", "x"), df.withColumnRenamed("id", "y"), "k", 0.1)
+    assert merged.count() == 1_000_000 + 2000
+    cell = lambda c: F.pmod(F.xxhash64(c, "k"), F.lit(8))
+    cells = sorted(r["count"] for r in merged.where("k = -1").groupBy(cell("x"), cell("y")).count().collect())
+    assert len(cells) == 64 and cells[-1] <= 2 * cells[32]
