@@ -2,12 +2,18 @@
 
 The classifier is a multinomial logistic regression over sparse word 1- and 2-grams, with a class for
 paragraphs of no licence.  It is fitted on the driver from variations of the templates below and
-from the paragraphs of a bounded sample of documents, ``SAMPLE`` at most; a held-out part of these
-examples sets the temperature of its probabilities and the least probability that counts.  Every
-paragraph (line) of every document is classified; n-grams that no template has weigh nothing, so a
-paragraph costs a lookup a word.  A prediction counts as confirmed if at least 0.8 of the five-word
-shingles of one of the family's templates stand in the paragraph, or 0.8 of the paragraph's own in
-one template, where it is a part of a longer text.
+from a bounded sample, ``PARAGRAPHS`` lines of at most ``SAMPLE`` documents; a held-out part of these
+examples sets the temperature of its probabilities and the least probability that counts.
+
+Every line of every document is classified, and so are windows of ``WINDOW`` words, overlapping by half,
+of every paragraph (what stands between blank lines), for notices run over line breaks or stand inside
+long lines.  n-grams that no template has weigh nothing, so a word costs a lookup.  Every family that is
+likely enough against the unknown class is a prediction, so a notice may name two.
+
+A prediction counts as confirmed if at least 0.8 of the five-word shingles of one of the family's
+templates stand in the text, or 0.8 of the text's own in one template, where it is a part of a longer
+one.  For windows the text is the run of windows with the prediction and half a window on either side.
+Templates of under ``BRIEF`` words are confirmed only by a line of their very words.
 """
 
 from __future__ import annotations
@@ -24,6 +30,10 @@ from tallyframe.llm.rows import col, text_of
 
 #: Documents of the fitting sample, the ones with the least hash.
 SAMPLE = 400
+#: Lines of them, the ones with the least hash, and the characters of the longest.
+PARAGRAPHS, LINE_CHARS = 3000, 2000
+#: Words of a window, and words from which a template may stand inside other text.
+WINDOW, BRIEF = 32, 4
 SHINGLE = 5
 SIMILARITY = 0.8
 #: Words from which a part of a longer template counts.
@@ -36,6 +46,10 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "Licensed under the MIT license.",
         "This project is licensed under the terms of the MIT license.",
         "SPDX-License-Identifier: MIT",
+        "License: MIT",
+        "MIT License",
+        "The MIT License (MIT)",
+        "licensed under either of Apache License, Version 2.0 or MIT license",
         'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:',
         "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
     ),
@@ -43,6 +57,8 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "Licensed under the Apache License, Version 2.0.",
         "Released under the Apache License 2.0.",
         "SPDX-License-Identifier: Apache-2.0",
+        "License: Apache 2.0",
+        "Apache License, Version 2.0",
         'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at',
         'Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.',
     ),
@@ -50,11 +66,16 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "This work is licensed under the GNU General Public License, version 3.",
         "Released under the GNU General Public License v3.0.",
         "SPDX-License-Identifier: GPL-3.0-or-later",
+        "License: GPLv3",
+        "GPLv3",
+        "GNU GENERAL PUBLIC LICENSE Version 3",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     ),
     "GPL-2.0": (
         "This work is licensed under the GNU General Public License, version 2.",
         "SPDX-License-Identifier: GPL-2.0-only",
+        "License: GPLv2",
+        "GNU GENERAL PUBLIC LICENSE Version 2",
         "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
     ),
     "LGPL": (
@@ -70,6 +91,9 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     "BSD": (
         "Released under the BSD License.",
         "SPDX-License-Identifier: BSD-3-Clause",
+        "License: BSD",
+        "BSD 2-Clause License",
+        "BSD 3-Clause License",
         "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
         "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
@@ -205,7 +229,8 @@ def _examples(prose: list[list[bytes]], rng: np.random.Generator, families: list
                     kept = words[start : start + int(rng.integers(PART, len(words) - start + 1))]
                 if k % 3 == 2:
                     kept = [w for w in kept if rng.random() > 0.08]
-                out.append(some(4) * (k > 0) + kept + some(4) * (k > 0))
+                most = 0 if k == 0 or len(words) < BRIEF else 4 if k % 4 else WINDOW // 2
+                out.append(some(most) + kept + some(most))
                 label.append(families.index(family))
             mixed = [w for w in words if rng.random() < 0.3] + some(12)  # its words without its wording
             out.append([mixed[i] for i in rng.permutation(len(mixed))])
@@ -217,12 +242,10 @@ def _examples(prose: list[list[bytes]], rng: np.random.Generator, families: list
 
 
 def train(prose: list[str], seed: int = 11, epochs: int = 30) -> Model:
-    """Fit the classifier; ``prose`` are paragraphs of the sample, those that hold a template's shingles left out."""
+    """Fit the classifier; ``prose`` are lines of the sample, those that hold a template's shingles left out."""
     rng = np.random.default_rng(seed)
     known = set().union(*(_shingles(words_of(t)) for ts in TEMPLATES.values() for t in ts))
     ordinary = [w for w in map(words_of, prose) if w and not known & _shingles(w)]
-    if len(ordinary) > 3000:
-        ordinary = [ordinary[i] for i in rng.choice(len(ordinary), 3000, replace=False)]
     families = [*TEMPLATES, UNKNOWN]
     texts = [words_of(t) for ts in TEMPLATES.values() for t in ts]
     unigrams = {w: i for i, w in enumerate(sorted({w for t in texts for w in t}))}
@@ -250,69 +273,141 @@ def train(prose: list[str], seed: int = 11, epochs: int = 30) -> Model:
     logits = x[held] @ w + b
     loss = lambda t: -np.log(_softmax(logits / t)[np.arange(held.sum()), label[held]] + 1e-12).mean()
     temperature = float(min(np.geomspace(0.25, 4, 33), key=loss))
-    p, unknown = _softmax(logits / temperature), families.index(UNKNOWN)
-    false = np.sort(np.delete(p, unknown, axis=1).max(axis=1)[label[held] == unknown])
+    p = odds(_softmax(logits / temperature))
+    false = np.sort(p.max(axis=1)[label[held] == families.index(UNKNOWN)])
     least = max(0.5, float(false[int(0.999 * (len(false) - 1))]) if len(false) else 0.5)
     return model._replace(weights=w, bias=b, temperature=temperature, least=min(least, 0.9))
 
 
+def odds(p: np.ndarray) -> np.ndarray:
+    """(texts, families) each family's probability against the unknown class alone, which comes last."""
+    return p[:, :-1] / (p[:, :-1] + p[:, -1:] + 1e-30)
+
+
 def _softmax(z: np.ndarray) -> np.ndarray:
     e = np.exp(z - z.max(axis=1, keepdims=True))
     return e / e.sum(axis=1, keepdims=True)
 
 
-_TEMPLATE_SHINGLES = {family: [_shingles(words_of(t)) for t in ts] for family, ts in TEMPLATES.items()}
+_TEMPLATE_SHINGLES = {family: [(words_of(t), _shingles(words_of(t))) for t in ts] for family, ts in TEMPLATES.items()}
+
+
+def match(family: str, words: list[bytes], core: list[bytes] | None = None) -> tuple[float, set[int]] | None:
+    """How well the best template of the family stands in the text, or the text (of a longer one, its ``core``) in a
+    template, with the places of the shingles they share; None below ``SIMILARITY``."""
+    core = words if core is None else core
+    at = {k: [tuple(words[i : i + k]) for i in range(len(words) - k + 1)] for k in range(1, SHINGLE + 1)}
+    own, best = _shingles(core), None
+    for spelt, template in _TEMPLATE_SHINGLES[family]:
+        if len(spelt) < BRIEF:
+            score = float(words == spelt)
+        else:
+            score = len(template.intersection(at[min(SHINGLE, len(spelt))])) / len(template)
+            if len(core) >= PART and len(spelt) >= SHINGLE:
+                score = max(score, len(template & own) / len(own))
+        if score >= SIMILARITY and (best is None or score > best[0]):
+            best = score, {i for i, x in enumerate(at[min(SHINGLE, len(spelt))]) if x in template}
+    return best
 
 
 def confirmed(family: str, words: list[bytes]) -> bool:
-    """Whether a template of the family stands in the paragraph, or the paragraph in a template."""
-    short = {k: {tuple(words[i : i + k]) for i in range(len(words) - k + 1)} for k in range(1, SHINGLE + 1)}
-    for template in _TEMPLATE_SHINGLES[family]:
-        own = short[len(next(iter(template)))]
-        both = len(template & own)
-        if both >= SIMILARITY * len(template) or (len(words) >= PART and both >= SIMILARITY * len(own)):
-            return True
-    return False
+    return match(family, words) is not None
+
+
+def _windows(line: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(paragraph, first word, end) of the windows of all paragraphs that are more than a line or a window, from the
+    numbers of the words' lines, in which a blank line leaves a gap."""
+    cut = np.flatnonzero(np.r_[True, np.diff(line) > 1, True])
+    begin, end = cut[:-1], cut[1:]
+    more = (end - begin > WINDOW) | (line[end - 1] > line[begin])
+    begin, end = begin[more], end[more]
+    n = np.maximum(-(-(end - begin) // (WINDOW // 2)) - 1, 1)
+    which = np.repeat(np.arange(len(n)), n)
+    first = begin[which] + (np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)) * (WINDOW // 2)
+    return which, first, np.minimum(first + WINDOW, end[which])
 
 
 def scan_text(text: bytes, model: Model) -> tuple[int, int, int, str, float | None]:
-    """(paragraphs with a word, predicted, confirmed, confirmed families, highest probability of a confirmed one)."""
+    """(lines with a word, predictions, confirmed ones, confirmed families, highest probability of a confirmed one).
+
+    A prediction is a line with likely families, or a run of windows with one that no line in it was confirmed to have."""
     words = text.replace(b"\n", b" " + _LINE + b" ").translate(_FOLD).split()
     ids = model.ids(words)
-    line = np.array([w == _LINE for w in words], bool) if _LINE in words else np.zeros(len(words), bool)
-    keep = np.flatnonzero(~line)
-    _, paragraph = np.unique(np.cumsum(line)[keep], return_inverse=True)
-    n_words = np.bincount(paragraph)
+    mark = np.array([w == _LINE for w in words], bool) if _LINE in words else np.zeros(len(words), bool)
+    keep = np.flatnonzero(~mark)
     if not len(keep):
         return 0, 0, 0, "", None
-    p = model.probabilities(ids[keep], paragraph, n_words)
-    best = p.argmax(axis=1)
-    predicted = np.flatnonzero((best != len(model.families) - 1) & (p.max(axis=1) >= model.least))
-    start = np.cumsum(np.r_[0, n_words])
-    found = {}
-    n = 0
-    for i in predicted:
-        family = model.families[best[i]]
-        if confirmed(family, [words[j] for j in keep[start[i] : start[i + 1]]]):
-            n += 1
-            found[family] = max(found.get(family, 0.0), float(p[i, best[i]]))
-    return len(n_words), len(predicted), n, ",".join(sorted(found)), max(found.values(), default=None)
-
-
-def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> DataFrame:
+    ids, words = ids[keep], [words[i] for i in keep]
+    line = np.cumsum(mark)[keep]
+    _, number = np.unique(line, return_inverse=True)
+    size = np.bincount(number)
+    start = np.cumsum(np.r_[0, size])
+    # (prediction, family, probability, how well it matches, where)
+    claims: list[tuple[int, str, float, float, set[int]]] = []
+    predicted = 0
+
+    def claim(f: int, probability: float, low: int, high: int, core: list[bytes] | None = None) -> None:
+        if best := match(model.families[f], words[low:high], core):
+            claims.append((predicted, model.families[f], probability, best[0], {low + i for i in best[1]}))
+
+    p = odds(model.probabilities(ids, number, size))
+    last = -1
+    for i, f in zip(*np.nonzero(p >= model.least), strict=True):
+        predicted, last = predicted + (i != last), i
+        claim(f, float(p[i, f]), int(start[i]), int(start[i + 1]))
+    by_line: dict[str, set[int]] = {}
+    for _, family, _, _, places in claims:
+        by_line.setdefault(family, set()).update(places)
+    which, first, end = _windows(line)
+    if len(which):
+        length = end - first
+        at = np.arange(int(length.sum())) - np.repeat(np.cumsum(length) - length, length) + np.repeat(first, length)
+        p = odds(model.probabilities(ids[at], np.repeat(np.arange(len(first)), length), length))
+        for f in np.flatnonzero((p >= model.least).any(axis=0)):
+            hits = np.flatnonzero(p[:, f] >= model.least)
+            breaks = np.flatnonzero((np.diff(hits) > 1) | (np.diff(which[hits]) != 0)) + 1
+            for run in np.split(hits, breaks):
+                a, b = int(first[run[0]]), int(end[run[-1]])
+                own = np.searchsorted(which, [which[run[0]], which[run[0]] + 1])
+                low, high = max(a - WINDOW // 2, int(first[own[0]])), min(b + WINDOW // 2, int(end[own[1] - 1]))
+                if not by_line.get(model.families[f], set()).isdisjoint(range(low, high)):
+                    continue  # its line was found
+                predicted += 1
+                claim(f, float(p[run, f].max()), low, high, words[a:b])
+    # wordings of two families may differ in a number: of claims on the same words the better match stays
+    at_place: dict[int, list] = {}
+    for c in claims:
+        for i in c[4]:
+            at_place.setdefault(i, []).append(c)
+    stay = [c for c in claims if not any(g[1] != c[1] and g[3] > c[3] and g[4] >= c[4] for g in at_place[min(c[4])])]
+    found: dict[str, float] = {}
+    for _, family, probability, _, _ in stay:
+        found[family] = max(found.get(family, 0.0), probability)
+    right = len({c[0] for c in stay})
+    return len(size), int(predicted), right, ",".join(sorted(found)), max(found.values(), default=None)
+
+
+def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE,
+                 paragraphs: int = PARAGRAPHS) -> DataFrame:
     """One row per document: id, n_paragraphs, n_predicted, n_confirmed, families, probability.
 
-    A paragraph is a line with a word.  ``families`` lists the confirmed families by name, empty if there are none;
-    ``probability`` is the highest calibrated probability among them.  Null counts as the empty text; rows that repeat
-    an id are scanned each on its own; an empty table gives an empty result.
+    ``n_paragraphs`` counts the lines with a word, ``n_predicted`` and ``n_confirmed`` the predictions (see
+    :func:`scan_text`).  ``families`` lists the confirmed families by name, empty if there are none; ``probability`` is
+    the highest calibrated probability among them.  Null counts as the empty text; rows that repeat an id are scanned
+    each on its own; an empty table gives an empty result.  The classifier is fitted on at most ``paragraphs`` lines, of
+    at most ``LINE_CHARS`` characters, of at most ``sample`` documents.
     """
     kind = docs.select(col(id_col)).schema[0].dataType.simpleString()
     rows = docs.select(col(id_col).alias("id"), text_of(text_col).alias("t"))
-    # the fitting sample: the least hashes first, so that only the texts of the sample travel
+    # the fitting sample: the least hashes first, so that only the lines of the sample travel
     hashed = rows.withColumn("h", F.xxhash64("id"))
     top = hashed.select("h").orderBy("h").limit(sample).agg(F.max("h")).first()[0]
-    taken = hashed.filter(F.col("h") <= top).limit(sample).collect() if top is not None else []
-    model = train([line for r in taken for line in r["t"].split("\n")])
+    taken = []
+    if top is not None:
+        lines = hashed.filter(F.col("h") <= top).limit(sample).select(F.explode(F.split("t", "\n")).alias("line"))
+        some = lines.filter(F.length("line").between(1, LINE_CHARS)).withColumn("h", F.xxhash64("line"))
+        taken = some.orderBy("h", "line").limit(paragraphs).collect()
+    model = train([r["line"] for r in taken])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -47,3 +47,36 @@ def test_planted_notices_of_the_small_tables(spark):
              "Licensed under CC BY-NC 4.0.": "CC-BY-NC", "Licensed under the Apache License, Version 2.0.": "Apache-2.0"}
     want = {r["doc_id"]: ",".join(sorted(f for line, f in lines.items() if line in (r["text"] or ""))) for r in docs.collect()}
     assert {r["id"]: r["families"] for r in license_scan(docs).collect()} == want
+
+
+def families(model, text):
+    return scan_text(text.encode(), model)[3]
+
+
+def test_notices_that_share_a_line_break_or_hide_in_long_lines():
+    model = train(PROSE)
+    long = " ".join(PROSE[:40])
+    assert families(model, "Licensed under the MIT license. Licensed under the Apache License, Version 2.0.") == "Apache-2.0,MIT"
+    assert families(model, "This crate is licensed under either of Apache License, Version 2.0 or MIT license at your option.") == "Apache-2.0,MIT"
+    assert families(model, "Licensed under the Apache License,\nVersion 2.0.") == "Apache-2.0"
+    assert families(model, "Licensed under\nthe Apache\nLicense, Version\n2.0.") == "Apache-2.0"
+    assert families(model, f"{long} This work is licensed under the GNU General Public License, version 3. {long}") == "GPL-3.0"
+    assert families(model, f"{long} Licensed under CC BY-NC 4.0. {long}\n\n{long}\nReleased under the\nMIT License. {long}") == "CC-BY-NC,MIT"
+    assert families(model, f"{long}\n\n{long}\n{long}") == ""
+
+
+def test_common_short_wordings():
+    model = train(PROSE)
+    for text, family in (("License: MIT", "MIT"), ("MIT License", "MIT"), ("BSD 2-Clause License", "BSD"), ("GPLv3", "GPL-3.0"),
+                         ("GNU GENERAL PUBLIC LICENSE Version 3", "GPL-3.0"), ("Apache License, Version 2.0", "Apache-2.0")):
+        assert families(model, f"intro line here\n{text}\nmore prose follows it") == family, text
+    assert families(model, "He said the MIT license was one of many that he had read") == ""
+
+
+def test_a_wrapped_licence_in_short_lines_and_across_blank_lines():
+    model = train(PROSE)
+    words = TEMPLATES["ISC"][1].split()
+    wrapped = "\n".join(" ".join(words[i : i + 6]) for i in range(0, len(words), 6))
+    assert families(model, f"some prose before\n\n{wrapped}\n\nsome prose after") == "ISC"
+    apart = "Licensed under the Apache\n\nLicense, Version 2.0."
+    assert families(model, apart) == ""  # two paragraphs are no notice
