@@ -46,13 +46,13 @@ PATTERN = "'s|'t|'re|'ve|'m|'ll|'d| ?[{L}]+| ?[{N}]+| ?[^{S}{L}{N}]+|[{S}]+(?![^
 NEAR = 0x250
 #: A worker remembers so many pairs of neighbours (a table of 18 bytes each) and so many pieces (about 200 bytes each), and
 #: forgets them all when there are more.
-PAIRS, PIECES = 1 << 19, 400_000
+PAIRS, PIECES = 1 << 19, 200_000
 #: Longer pieces are not remembered.
 PIECE_CHARS = 64
 #: Texts are cut between pieces into blocks of about so many characters, and ids are decoded in blocks of so many.
 BLOCK_CHARS, BLOCK_IDS = 1 << 18, 1 << 16
 #: The pieces of texts of about so many bytes walk together.
-WALK_BYTES = 2 << 20
+WALK_BYTES = 1 << 20
 #: What the paths of a long piece agree on is emitted after every so many bytes.
 EMIT = 4096
 
@@ -583,6 +583,12 @@ class StreamDecoder:
         return "�" if cut else ""
 
 
+def streamed(tokens: Tokens, ids: np.ndarray) -> str:
+    """The text of ids, decoded block by block."""
+    stream = StreamDecoder(tokens)
+    return "".join([*(stream.feed(ids[at : at + BLOCK_IDS]) for at in range(0, len(ids), BLOCK_IDS)), stream.finish()])
+
+
 def _kept(key: str, make: Callable):
     """``make()``, kept as long as the Python worker lives; tasks bring their own copies of this module's functions, so
     what they share stands in a module of its own."""
@@ -592,41 +598,53 @@ def _kept(key: str, make: Callable):
     return shelf[key]
 
 
-def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = TOKENIZER) -> DataFrame:
-    """One row per document: id, ids (array of int), the tokens of its whole text.
-
-    A null text is empty and has no ids; a null or repeated id is kept as it is, each row for itself; ties don't occur.
-    Texts of any length are encoded in blocks cut between pieces.  Extra columns are not looked at.  The vocabulary is
-    read on the driver and travels with the job.
-    """
+def _encoded(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, back: bool) -> DataFrame:
     vocab = vocabulary(tokenizer)
     rows = docs.select(col(id_col).alias("id"), text_of(text_col).alias("t"))
-    kind = rows.schema["id"].dataType.simpleString()
+    names = ["id", "ids", "text"] if back else ["id", "ids"]
+    schema = f"id {rows.schema['id'].dataType.simpleString()}, ids array<int>" + ", text string" * back
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _kept("e" + vocab.key, lambda: Encoder(vocab))
+        tokens = _kept("d" + vocab.key, lambda: Tokens(vocab)) if back else None
         for batch in batches:
-            for a, b in _spans(batch.column("t")):
+            for a, b in _spans(pc.binary_length(batch.column("t")).to_pylist()):
                 part = batch.slice(a, b - a)
                 ids = encoder.encode_all(part.column("t").to_pylist())
                 ends = np.cumsum([0, *map(len, ids)])
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids)))
-                yield pa.RecordBatch.from_arrays([part.column("id"), lists], ["id", "ids"])
+                texts = [pa.array([streamed(tokens, x) for x in ids], pa.string())] if back else []
+                yield pa.RecordBatch.from_arrays([part.column("id"), lists, *texts], names)
+
+    return rows.mapInArrow(run, schema)
+
+
+def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = TOKENIZER) -> DataFrame:
+    """One row per document: id, ids (array of int), the tokens of its whole text.
+
+    A null text is empty and has no ids; a null or repeated id is kept as it is, each row for itself; ties don't occur.
+    Texts of any length are encoded in blocks cut between pieces.  Extra columns are not looked at.  The vocabulary is
+    read on the driver and travels with the job.
+    """
+    return _encoded(docs, id_col, text_col, tokenizer, back=False)
+
 
-    return rows.mapInArrow(run, f"id {kind}, ids array<int>")
+def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = TOKENIZER) -> DataFrame:
+    """:func:`encode` with ``text``, decoded from the ids again as :func:`decode` does, in the same tasks."""
+    return _encoded(docs, id_col, text_col, tokenizer, back=True)
 
 
-def _spans(texts: pa.Array, limit: int = WALK_BYTES) -> Iterator[tuple[int, int]]:
-    """Runs of rows with about ``limit`` bytes of text together, so that what a task holds is bounded by that and by its
-    longest text."""
+def _spans(sizes: list[int], limit: int = WALK_BYTES) -> Iterator[tuple[int, int]]:
+    """Runs of rows with about ``limit`` bytes together, so that what a task holds beside its batch is bounded by that and
+    by its longest row."""
     total, begin = 0, 0
-    for i, n in enumerate(pc.binary_length(texts).to_pylist()):
+    for i, n in enumerate(sizes):
         total += n
         if total >= limit:
             yield begin, i + 1
             total, begin = 0, i + 1
-    if begin < len(texts):
-        yield begin, len(texts)
+    if begin < len(sizes):
+        yield begin, len(sizes)
 
 
 def decode(encoded: DataFrame, ids_col: str = "ids", out_col: str = "text", tokenizer: str = TOKENIZER) -> DataFrame:
@@ -645,12 +663,9 @@ def decode(encoded: DataFrame, ids_col: str = "ids", out_col: str = "text", toke
         for batch in batches:
             lists = batch.columns[-1]
             ids, ends = pc.fill_null(lists.values, -1).to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
-            texts = []
-            for a, b in zip(ends[:-1], ends[1:], strict=True):
-                stream, parts = StreamDecoder(tokens), []
-                for at in range(a, b, BLOCK_IDS):
-                    parts.append(stream.feed(ids[at : min(at + BLOCK_IDS, b)]))
-                texts.append("".join(parts) + stream.finish())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], schema.names)
+            for first, last in _spans((4 * np.diff(ends)).tolist()):
+                texts = [streamed(tokens, ids[a:b]) for a, b in zip(ends[first:last], ends[first + 1 : last + 1], strict=True)]
+                others = [c.slice(first, last - first) for c in batch.columns[:-1]]
+                yield pa.RecordBatch.from_arrays([*others, pa.array(texts, pa.string())], schema.names)
 
     return rows.mapInArrow(run, schema).toDF(*others, out_col)

@@ -111,11 +111,10 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, and the text decoded from them again."""
-    encoded = byte_bpe.encode(table(spark, sf_dir, "documents"))
-    ids = F.array_join("ids", " ").cast("binary")
-    digests = encoded.select(F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), "ids")
-    decoded = byte_bpe.decode(digests, out_col="decoded")
-    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+    found = byte_bpe.round_trip(table(spark, sf_dir, "documents"))
+    sha = lambda text: F.sha2(text.cast("binary"), 256)
+    return found.select(F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"),
+                        sha(F.array_join("ids", " ")).alias("ids_sha256"), sha(F.col("text")).alias("decoded_sha256"))
 
 
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
