@@ -6,7 +6,9 @@ import re
 import pytest
 
 import __spark_entry__ as E
+from tallyframe.plans import delivery_queries
 from tallyframe.plans.catalogue import QUERIES
+from tallyframe.sources.tables import SCHEMAS
 
 SF = "/root/testdata/sf0.001"
 FORBIDDEN = ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython", "ArrowEvalPython",
@@ -53,6 +55,29 @@ def test_words_are_spread_out_behind_the_last_exchange(spark, no_broadcast, name
     assert len(_exchanges(df)) <= 4
 
 
+@pytest.fixture
+def shop(spark, tmp_path):
+    """Orders of two lines over parts of three words, one of which stands twice in the name."""
+    n = 300
+    rows = {"part": [(i, f"word{i % 7} bolt word{i % 7} ring{i % 3}", "b", f"type{i % 4}", 1, 1.0) for i in range(50)],
+            "orders": [(i, i % 9, "F", 1.0, None, f"{i % 5}-PRIO") for i in range(n)],
+            "lineitem": [(i // 2, i % 50, 1, i % 2, 1.0, 1.0, 0.0, 0.0, "RAN"[i % 3], "F", None) for i in range(2 * n)]}
+    for name, r in rows.items():
+        spark.createDataFrame(r, SCHEMAS[name]).write.parquet(f"{tmp_path}/{name}.parquet")
+    return str(tmp_path)
+
+
+@pytest.mark.parametrize("name", ["order_change_labels"])
+def test_tasks_of_words_grow_in_number(spark, no_broadcast, monkeypatch, shop, name):
+    """A task spreads out a bounded number of words, and the rows stay as they are."""
+    want = sorted(map(tuple, E.queries()[name](spark, shop).collect()))
+    monkeypatch.setattr(delivery_queries, "WORDS_A_TASK", 40, raising=False)  # 400 lines of 3 words are taken
+    df = E.queries()[name](spark, shop)
+    dealt = [x for x in _exchanges(df) if "l_orderkey" in x and "REPARTITION_BY_NUM" in x]
+    assert dealt and all(int(re.search(r", (\d+)\), REPARTITION_BY_NUM", x).group(1)) >= 30 for x in dealt)
+    assert len(_exchanges(df)) <= 4 and sorted(map(tuple, df.collect())) == want and len(want) > 100
+
+
 def test_bucketed_tables_meet_where_they_lie(spark, no_broadcast):
     keys = _exchanges(E.queries()["order_detail_bucketed"](spark, SF))
     assert keys and not any("orderkey" in k or "order_id" in k for k in keys)
